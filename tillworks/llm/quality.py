@@ -23,6 +23,7 @@ from tillworks.llm.common import words_of
 
 GOOD, BAD, ABSTAIN = 1, 0, 2
 ROUNDS = 100
+LEAST_ODDS = 2.0
 STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
@@ -87,6 +88,7 @@ def with_stats(df: DataFrame, text: str = "text") -> DataFrame:
         (F.size("_q_lines") - F.size(F.array_distinct("_q_lines"))).cast("long").alias("_q_n_dup_lines"),
         covered.cast("long").alias("_q_n_repeat_words"),
         _size(F.regexp_replace("_q_text", r"[^\p{Lu}]+", "")).cast("long").alias("_q_n_upper"),
+        _size(F.regexp_replace("_q_text", r"[^\p{L}]+", "")).cast("long").alias("_q_n_letters"),
         _size(F.regexp_replace("_q_text", r"[^!?]+", "")).cast("long").alias("_q_n_loud"),
         _size(F.regexp_replace("_q_text", r"[^.]+", "")).cast("long").alias("_q_n_stops"),
         F.size("_q_lines").cast("long").alias("_q_n_lines"),
@@ -103,29 +105,34 @@ def _vote(bad: Column, good: Column) -> Column:
 
 
 def rule_votes() -> dict[str, Column]:
-    """The rules.  Good is a statement too, so a rule that cannot tell abstains."""
+    """The rules.  Finding no flaw of one kind says little, so most rules vote bad or
+    abstain; two look at what prose has and vote either way."""
     symbols, upper, loud = _ratio("n_symbols", "n_words"), _ratio("n_upper", "word_chars"), _ratio("n_loud", "n_words")
     repeat, dup = _ratio("n_repeat_words", "n_words"), _ratio("n_dup_lines", "n_lines")
     stops, mean = _ratio("n_stops", "n_words"), _ratio("word_chars", "n_words")
     distinct = _ratio("n_distinct", "n_words")
-    long_enough = F.col("_q_n_words") >= 50
+    letters = _ratio("n_letters", "word_chars")
+    prose = (stops > 0.02) & (stops < 0.3) & (symbols < 0.05) & (upper < 0.2) & (repeat < 0.2)
     return {
-        "symbols": _vote(symbols > 0.25, (symbols < 0.02) & long_enough),
-        "shouting": _vote((upper > 0.5) | (loud > 0.25), (upper < 0.12) & (loud < 0.05) & long_enough),
-        "repeats": _vote(repeat > 0.3, (repeat < 0.1) & long_enough),
-        "dup_lines": _vote(dup > 0.3, F.lit(False)),
+        "prose": _vote((stops < 0.01) | (symbols > 0.2) | (upper > 0.4) | (repeat > 0.4), prose),
+        "letters": _vote(letters < 0.88, letters > 0.92),
+        "symbols": _vote(symbols > 0.25, F.lit(False)),
+        "upper_case": _vote(upper > 0.5, F.lit(False)),
+        "loud": _vote(loud > 0.25, F.lit(False)),
+        "repeats": _vote(repeat > 0.3, F.lit(False)),
+        "dup_lines": _vote(dup > 0.4, F.lit(False)),
         "vocabulary": _vote((distinct < 0.15) & (F.col("_q_n_words") < 2000), F.lit(False)),
-        "sentences": _vote((stops < 0.015) & long_enough, (stops > 0.03) & (stops < 0.3)),
-        "word_length": _vote((mean < 2) | (mean > 15), (mean >= 3) & (mean <= 9) & long_enough),
+        "word_length": _vote((mean < 2) | (mean > 15), F.lit(False)),
     }
 
 
 def estimate(counts: dict[tuple[int, ...], int], n_rules: int) -> tuple[float, list[list[list[float]]]]:
     """EM over vote patterns: the share of good documents, and ``P(vote | class)`` per rule.
 
-    It starts from the share of good votes with bad ones counted double, and a
-    half count per cell keeps every estimate away from 0 and 1.  A rule's vote
-    may not count for the other side: its odds are held at 1 at least.
+    An abstention is an outcome like a vote, so flaws that no rule names still
+    weigh little.  It starts from the votes with bad ones counted fourfold, and a
+    half count per cell keeps every estimate away from 0 and 1.  Rules are taken
+    to be better than chance: a vote's odds are held at ``LEAST_ODDS`` at least.
     """
     total = sum(counts.values())
     prior = 0.5
@@ -145,8 +152,8 @@ def estimate(counts: dict[tuple[int, ...], int], n_rules: int) -> tuple[float, l
                 cells[0][p[j]] += (1 - belief[p]) * n
             rows = [[x / sum(c) for x in c] for c in cells]
             for vote in (GOOD, BAD):
-                if rows[vote][vote] < rows[1 - vote][vote]:
-                    rows[0][vote] = rows[1][vote] = (rows[0][vote] + rows[1][vote]) / 2
+                # The other class gives this vote at most once for each LEAST_ODDS here.
+                rows[1 - vote][vote] = min(rows[1 - vote][vote], rows[vote][vote] / LEAST_ODDS)
             given[j] = rows
         fresh = {p: 1 / (1 + math.exp(-_log_odds(p, prior, given))) for p in counts}
         moved = max(abs(fresh[p] - belief[p]) for p in counts)
@@ -159,8 +166,7 @@ def estimate(counts: dict[tuple[int, ...], int], n_rules: int) -> tuple[float, l
 def _log_odds(votes: tuple[int, ...], prior: float, given: list[list[list[float]]]) -> float:
     odds = math.log(prior / (1 - prior))
     for j, v in enumerate(votes):
-        if v != ABSTAIN:
-            odds += math.log(given[j][1][v] / given[j][0][v])
+        odds += math.log(given[j][1][v] / given[j][0][v])
     return max(-30.0, min(30.0, odds))
 
 
@@ -174,14 +180,15 @@ def judge_quality(df: DataFrame, text: str = "text", threshold: float = 0.5) ->
     rules = rule_votes()
     voted = with_stats(df, text).withColumns({f"_q_vote_{k}": v for k, v in rules.items()})
     votes = [f"_q_vote_{k}" for k in rules]
-    patterns = voted.groupBy(*votes).count().collect()
+    failed = (F.col("_q_n_words") < 50) | (100 * F.col("_q_n_repeat_words") > 50 * F.col("_q_n_words"))
+    # Documents that the base rules reject are decided already and teach nothing.
+    patterns = voted.filter(~failed).groupBy(*votes).count().collect()
     counts = {tuple(int(v) for v in row[:-1]): row["count"] for row in sorted(patterns)}
     prior, given = estimate(counts, len(votes))
     odds = F.lit(math.log(prior / (1 - prior)))
     for j, name in enumerate(votes):
-        weight = [math.log(given[j][1][v] / given[j][0][v]) for v in (BAD, GOOD)]
-        odds = odds + F.when(F.col(name) == BAD, weight[0]).when(F.col(name) == GOOD, weight[1]).otherwise(0.0)
-    failed = (F.col("_q_n_words") < 50) | (100 * F.col("_q_n_repeat_words") > 50 * F.col("_q_n_words"))
+        weight = [math.log(given[j][1][v] / given[j][0][v]) for v in (BAD, GOOD, ABSTAIN)]
+        odds = odds + F.when(F.col(name) == BAD, weight[0]).when(F.col(name) == GOOD, weight[1]).otherwise(weight[2])
     return (
         voted.withColumn("_q_p_good", 1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), odds)))))
         .withColumn("_q_base_failed", failed)

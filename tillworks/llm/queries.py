@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillworks.llm import html_text, language, quality, url_rules
+from tillworks.llm import html_text, language, pii, quality, syncmers, toxicity, url_rules
 from tillworks.llm.common import id_remainder, table
 
 
@@ -23,6 +23,19 @@ def op5_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(table(spark, sf_dir, "pages"), "page_id", "url")
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(id_remainder("doc_id", 3) == 1, F.lit(False))
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", held_out)
+    labels = table(spark, sf_dir, "labels").filter(~held_out)
+    model = toxicity.train(docs.filter(~F.col("held_out")), labels, "doc_id", "text", "toxic")
+    return toxicity.score(docs, model, "doc_id", "text", ["held_out"])
+
+
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pii.find(docs, pii.train(docs, "doc_id", "text"), "doc_id", "text")
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     judged = quality.judge_quality(docs)
@@ -35,5 +48,12 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op3_html_text, op4_language, op5_url_rules, op9_quality)}
+def op10_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.fingerprint_edits(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (op3_html_text, op4_language, op5_url_rules, op7_toxicity, op8_pii, op9_quality, op10_syncmers)
+}
 ORACLES = {"op5_url_rules": url_rules.judge_sql()}
