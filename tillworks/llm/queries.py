@@ -5,10 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillworks.llm import html_text, language, pii, quality, syncmers, toxicity, url_rules
+from tillworks.llm import html_text, language, mixing, packing, pii, quality, syncmers, toxicity, url_rules
 from tillworks.llm.common import id_remainder, table
 
 
+def vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack(table(spark, sf_dir, "documents"), "doc_id", "text", vocabulary())
+    return packed.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"), "html", ["page_id", "url"])
 
@@ -23,6 +36,10 @@ def op5_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(table(spark, sf_dir, "pages"), "page_id", "url")
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))[0]
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.coalesce(id_remainder("doc_id", 3) == 1, F.lit(False))
     docs = table(spark, sf_dir, "documents").withColumn("held_out", held_out)
@@ -54,6 +71,6 @@ def op10_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op3_html_text, op4_language, op5_url_rules, op7_toxicity, op8_pii, op9_quality, op10_syncmers)
+    for f in (op1_packing, op3_html_text, op4_language, op5_url_rules, op6_mixing, op7_toxicity, op8_pii, op9_quality, op10_syncmers)
 }
 ORACLES = {"op5_url_rules": url_rules.judge_sql()}
