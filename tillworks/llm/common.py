@@ -12,16 +12,20 @@ from pyspark.sql import types as T
 
 from tillworks.session import materialize, tune
 
-# Rows in an Arrow batch.  Texts vary from a few bytes to megabytes, so batches
-# are kept short to bound the memory of a Python worker.
-BATCH_ROWS = "256"
+# An Arrow batch ends at this many rows or bytes: texts vary from a few bytes to
+# megabytes, and the memory of a Python worker is to stay bounded.
+BATCH = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4194304",
+}
 WHITE = r"[\x20\x09-\x0D]+"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One input table, with the session settings these operators are written for."""
     tune(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    for key, value in BATCH.items():
+        spark.conf.set(key, value)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

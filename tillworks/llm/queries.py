@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillworks.llm import html_text, language, mixing, packing, pii, quality, syncmers, toxicity, url_rules
+from tillworks.llm import html_text, language, mixing, ngram_join, packing, pii, quality, syncmers, toxicity, url_rules
 from tillworks.llm.common import id_remainder, table
 
 
@@ -22,6 +22,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"), "html", ["page_id", "url"])
 
@@ -71,6 +75,6 @@ def op10_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_packing, op3_html_text, op4_language, op5_url_rules, op6_mixing, op7_toxicity, op8_pii, op9_quality, op10_syncmers)
+    for f in (op1_packing, op2_ngram_join, op3_html_text, op4_language, op5_url_rules, op6_mixing, op7_toxicity, op8_pii, op9_quality, op10_syncmers)
 }
 ORACLES = {"op5_url_rules": url_rules.judge_sql()}
