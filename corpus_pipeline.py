@@ -1,6 +1,72 @@
-STAGES = []
+"""A corpus pipeline of five stages over ``documents``.
+
+Each stage is ``(spark, docs, sf_dir) -> DataFrame`` and is written and read
+again before the next.  All but the last return the columns of ``documents``:
+quality rules drop rejected documents, near duplicates leave the first document
+of each group, personal data is masked, sources are mixed to target weights
+(documents are repeated, cut or left out) and the rest is packed.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tillworks.llm import mixing, ngram_join, packing, pii, quality
+from tillworks.llm.common import settings, table
+from tillworks.llm.queries import vocabulary
+from tillworks.session import materialize
+
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    settings(spark)
+    return quality.judge_quality(docs).filter("_q_kept").select(docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group; rows that share an id count as one."""
+    settings(spark)
+    found = ngram_join.near_duplicates(docs)
+    kept = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
+    return docs.join(kept.withColumnRenamed("doc_id", "_kept"), F.col("doc_id").eqNullSafe(F.col("_kept"))).drop("_kept").dropDuplicates(["doc_id"])
+
+
+def mask_private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    settings(spark)
+    masked = pii.redact(docs, pii.train(docs, "doc_id", "text"), "text")
+    return masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    settings(spark)
+    mixed = mixing.take_texts(docs, mixing.mix(docs)[0], "doc_id", "text")
+    return mixed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    settings(spark)
+    packed = packing.pack(docs, "doc_id", "text", vocabulary())
+    return packed.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
+STAGES = [
+    ("quality", keep_quality),
+    ("near_duplicates", drop_near_duplicates),
+    ("private", mask_private),
+    ("mix", mix_sources),
+    ("pack", pack_sequences),
+]
+
+# Estimated rule accuracies, links and packing are not for SQL; the tests compare
+# the stages with plain Python instead.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = materialize(stage(spark, docs, sf_dir), name)
+    return docs

@@ -21,12 +21,15 @@ BATCH = {
 WHITE = r"[\x20\x09-\x0D]+"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One input table, with the session settings these operators are written for."""
-    tune(spark)
+def settings(spark: SparkSession) -> SparkSession:
+    """The session settings these operators are written for."""
     for key, value in BATCH.items():
         spark.conf.set(key, value)
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return tune(spark)
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return settings(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def id_remainder(column: str, modulus: int) -> Column:
