@@ -20,7 +20,7 @@ from tillworks.session import materialize
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     settings(spark)
-    return quality.judge_quality(docs).filter("_q_kept").select(docs.columns)
+    return quality.judge_quality(docs, docs.columns).filter("_q_kept").select(docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

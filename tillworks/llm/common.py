@@ -37,11 +37,6 @@ def id_remainder(column: str, modulus: int) -> Column:
     return F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(modulus))
 
 
-def words_of(text: Column) -> Column:
-    """The words ``[^\\x20\\x09-\\x0D]+`` of a text; none for a null."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), WHITE), lambda w: w != "")
-
-
 def running_total(df: DataFrame, order: list[str], value: str, name: str) -> DataFrame:
     """Add ``name``: the sum of ``value`` over all rows before this one in ``order``.
 

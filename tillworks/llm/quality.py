@@ -19,7 +19,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillworks.llm.common import words_of
+from tillworks.llm.common import WHITE
+from tillworks.session import materialize
 
 GOOD, BAD, ABSTAIN = 1, 0, 2
 ROUNDS = 100
@@ -27,70 +28,61 @@ LEAST_ODDS = 2.0
 STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
-def _size(text: Column) -> Column:
-    return F.length(text)
-
-
 def with_stats(df: DataFrame, text: str = "text") -> DataFrame:
-    """Add the counts of ``STATS`` and those the rules need, as ``_q_`` columns."""
-    whole = F.coalesce(F.col(text), F.lit(""))
-    step = df.withColumn("_q_text", whole).withColumn("_q_words", words_of(F.col("_q_text")))
-    lines = F.filter(F.split("_q_text", "\n"), lambda x: F.rlike(x, F.lit(r"[^\x20\x09-\x0D]")))
-    step = step.withColumn("_q_lines", lines).withColumn("_q_n_words", F.size("_q_words").cast("long"))
-    # A window of three words is known by its hash; positions follow by sorting.
-    windows = F.when(
-        F.col("_q_n_words") >= 3,
-        F.transform(
-            F.arrays_zip(
-                F.slice("_q_words", F.lit(1), F.col("_q_n_words").cast("int") - 2).alias("a"),
-                F.slice("_q_words", F.lit(2), F.col("_q_n_words").cast("int") - 2).alias("b"),
-                F.slice("_q_words", F.lit(3), F.col("_q_n_words").cast("int") - 2).alias("c"),
-            ),
-            lambda w: F.xxhash64(w["a"], w["b"], w["c"]),
-        ),
-    ).otherwise(F.array().cast("array<bigint>"))
-    step = step.withColumn("_q_windows", windows)
-    placed = F.when(
-        F.size(F.array_distinct("_q_windows")) < F.size("_q_windows"),
-        F.sort_array(F.transform("_q_windows", lambda h, i: F.struct(h.alias("h"), i.alias("i")))),
-    ).otherwise(F.array().cast("array<struct<h:bigint,i:int>>"))
-    step = step.withColumn("_q_placed", placed)
-    # Neighbours in the sorted array with equal hashes: windows found twice or more.
-    n = F.size("_q_placed")
-    twice = F.transform(
-        F.filter(
-            F.arrays_zip(
-                F.col("_q_placed").alias("at"),
-                F.concat(F.array(F.lit(None).cast("struct<h:bigint,i:int>")), F.slice("_q_placed", F.lit(1), F.greatest(n - 1, F.lit(0)))).alias("prev"),
-                F.slice("_q_placed", F.lit(2), F.greatest(n - 1, F.lit(0))).alias("next"),
-            ),
-            lambda z: z["at"].isNotNull() & (z["at"]["h"].eqNullSafe(z["prev"]["h"]) | z["at"]["h"].eqNullSafe(z["next"]["h"])),
-        ),
-        lambda z: z["at"]["i"],
+    """Add the counts of ``STATS`` and those the rules need, as ``_q_`` columns.
+
+    Every step is a column of its own, so that later ones refer to its value.
+    """
+    steps = df.withColumn("_q_text", F.coalesce(F.col(text), F.lit("")))
+    steps = steps.withColumn("_q_trim", F.btrim("_q_text", F.lit(" \t\n\x0b\x0c\r")))
+    words = F.when(F.col("_q_trim") == "", F.array().cast("array<string>")).otherwise(F.split("_q_trim", WHITE))
+    # What is left without lower-case letters and white space is short, and holds all that is counted.
+    steps = steps.withColumns(
+        {
+            "_q_words": words,
+            "_q_lines": F.filter(F.split("_q_text", "\n"), lambda x: F.rlike(x, F.lit(r"[^\x20\x09-\x0D]"))),
+            "_q_rest": F.regexp_replace("_q_text", r"[\p{Ll}\x20\x09-\x0D]+", ""),
+        }
+    ).withColumn("_q_n", F.size("_q_words"))
+    # A window of three words is known by its hash.
+    windows = F.transform(
+        F.sequence(F.lit(0), F.col("_q_n") - 3),
+        lambda i: F.xxhash64(F.get("_q_words", i), F.get("_q_words", i + 1), F.get("_q_words", i + 2)),
     )
-    step = step.withColumn("_q_twice", F.sort_array(twice)).drop("_q_placed", "_q_windows")
-    m = F.size("_q_twice")
-    # A window covers three words, or those up to the next repeated window.
-    covered = F.aggregate(
-        F.zip_with(
-            F.slice("_q_twice", F.lit(1), F.greatest(m - 1, F.lit(0))),
-            F.slice("_q_twice", F.lit(2), F.greatest(m - 1, F.lit(0))),
-            lambda a, b: F.least(b - a, F.lit(3)),
+    steps = steps.withColumn("_q_windows", F.when(F.col("_q_n") >= 3, windows).otherwise(F.array().cast("array<bigint>")))
+    placed = F.sort_array(F.transform("_q_windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    steps = steps.withColumn(
+        "_q_placed",
+        F.when(F.size(F.array_distinct("_q_windows")) < F.size("_q_windows"), placed).otherwise(
+            F.array().cast("array<struct<h:bigint,i:int>>")
         ),
-        F.when(m > 0, F.lit(3)).otherwise(F.lit(0)),
-        lambda acc, x: acc + x,
     )
-    joined = F.array_join("_q_words", "")
-    return step.select(
-        *[c for c in step.columns if c not in ("_q_text", "_q_words", "_q_lines", "_q_twice")],
-        _size(joined).cast("long").alias("_q_word_chars"),
-        _size(F.regexp_replace("_q_text", r"[^#*$%&|<>]+", "")).cast("long").alias("_q_n_symbols"),
+    # Neighbours of equal hash in the sorted array are windows found twice or more.
+    same = lambda x, i: x["h"].eqNullSafe(F.get("_q_placed", i - 1)["h"]) | x["h"].eqNullSafe(F.get("_q_placed", i + 1)["h"])
+    twice = F.sort_array(F.transform(F.filter("_q_placed", same), lambda x: x["i"]))
+    steps = steps.withColumn("_q_twice", F.when(F.size("_q_placed") > 0, twice).otherwise(F.array().cast("array<int>")))
+    # Each covers three words, or those up to the next one.
+    covered = F.when(
+        F.size("_q_twice") > 0,
+        F.aggregate(
+            F.transform("_q_twice", lambda x, i: F.least(F.coalesce(F.get("_q_twice", i + 1) - x, F.lit(3)), F.lit(3))),
+            F.lit(0),
+            lambda total, x: total + x,
+        ),
+    ).otherwise(F.lit(0))
+    counted = lambda pattern: F.regexp_count("_q_rest", F.lit(pattern)).cast("long")
+    chars = F.length(F.array_join("_q_words", "")).cast("long")
+    return steps.select(
+        *df.columns,
+        F.col("_q_n").cast("long").alias("_q_n_words"),
+        chars.alias("_q_word_chars"),
+        counted(r"[#*$%&|<>]").alias("_q_n_symbols"),
         (F.size("_q_lines") - F.size(F.array_distinct("_q_lines"))).cast("long").alias("_q_n_dup_lines"),
         covered.cast("long").alias("_q_n_repeat_words"),
-        _size(F.regexp_replace("_q_text", r"[^\p{Lu}]+", "")).cast("long").alias("_q_n_upper"),
-        _size(F.regexp_replace("_q_text", r"[^\p{L}]+", "")).cast("long").alias("_q_n_letters"),
-        _size(F.regexp_replace("_q_text", r"[^!?]+", "")).cast("long").alias("_q_n_loud"),
-        _size(F.regexp_replace("_q_text", r"[^.]+", "")).cast("long").alias("_q_n_stops"),
+        counted(r"\p{Lu}").alias("_q_n_upper"),
+        counted(r"[^\p{L}]").alias("_q_n_marks"),
+        counted(r"[!?]").alias("_q_n_loud"),
+        counted(r"\.").alias("_q_n_stops"),
         F.size("_q_lines").cast("long").alias("_q_n_lines"),
         F.size(F.array_distinct("_q_words")).cast("long").alias("_q_n_distinct"),
     )
@@ -111,7 +103,7 @@ def rule_votes() -> dict[str, Column]:
     repeat, dup = _ratio("n_repeat_words", "n_words"), _ratio("n_dup_lines", "n_lines")
     stops, mean = _ratio("n_stops", "n_words"), _ratio("word_chars", "n_words")
     distinct = _ratio("n_distinct", "n_words")
-    letters = _ratio("n_letters", "word_chars")
+    letters = 1 - _ratio("n_marks", "word_chars")
     prose = (stops > 0.02) & (stops < 0.3) & (symbols < 0.05) & (upper < 0.2) & (repeat < 0.2)
     return {
         "prose": _vote((stops < 0.01) | (symbols > 0.2) | (upper > 0.4) | (repeat > 0.4), prose),
@@ -170,15 +162,17 @@ def _log_odds(votes: tuple[int, ...], prior: float, given: list[list[list[float]
     return max(-30.0, min(30.0, odds))
 
 
-def judge_quality(df: DataFrame, text: str = "text", threshold: float = 0.5) -> DataFrame:
-    """All rows and columns of ``df`` with ``_q_`` columns for the counts, ``_q_p_good``,
-    ``_q_base_failed`` and ``_q_kept``.
+def judge_quality(df: DataFrame, keep: list[str], text: str = "text", threshold: float = 0.5) -> DataFrame:
+    """All rows of ``df`` with the columns ``keep`` and ``_q_`` columns for the counts,
+    ``_q_p_good``, ``_q_base_failed`` and ``_q_kept``.
 
-    The vote counts take one pass over ``df`` and the verdicts another; nothing
-    but the counts, bounded by the number of vote patterns, reaches the driver.
+    Texts are counted once; the counts are written and serve both the estimates
+    and the verdicts.  Only numbers by vote pattern reach the driver.
     """
     rules = rule_votes()
-    voted = with_stats(df, text).withColumns({f"_q_vote_{k}": v for k, v in rules.items()})
+    stats = with_stats(df, text)
+    stats = materialize(stats.select(*keep, *[c for c in stats.columns if c.startswith("_q_")]), "quality")
+    voted = stats.withColumns({f"_q_vote_{k}": v for k, v in rules.items()})
     votes = [f"_q_vote_{k}" for k in rules]
     failed = (F.col("_q_n_words") < 50) | (100 * F.col("_q_n_repeat_words") > 50 * F.col("_q_n_words"))
     # Documents that the base rules reject are decided already and teach nothing.

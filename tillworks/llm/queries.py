@@ -58,8 +58,7 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    judged = quality.judge_quality(docs)
+    judged = quality.judge_quality(table(spark, sf_dir, "documents"), ["doc_id"])
     return judged.select(
         "doc_id",
         *[F.col(f"_q_{c}").alias(c) for c in quality.STATS],
