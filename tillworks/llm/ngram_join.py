@@ -40,7 +40,7 @@ WORDS = 5
 # Two documents link when SHARE[1] * intersection >= SHARE[0] * union.
 SHARE = (4, 5)
 SKETCH_BITS = 17
-BITMAP_WORDS = 16
+LEAST_BITS = 512
 LEAF = 16
 FAN = 4
 KNOWN_WORDS = 300_000
@@ -77,10 +77,21 @@ def _set_id(s: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh3_64_intdigest(s.tobytes())).astype(np.int64))
 
 
-def _bitmap(s: np.ndarray) -> np.ndarray:
-    bits = np.zeros(BITMAP_WORDS * 64, np.uint8)
-    bits[(s % np.uint64(BITMAP_WORDS * 64)).astype(np.int64)] = 1
-    return np.packbits(bits)
+def _bitmap(s: np.ndarray) -> bytes:
+    """Hashes modulo a power of two of at least twice their number, so few bits collide."""
+    size = LEAST_BITS
+    while size < 2 * len(s):
+        size *= 2
+    bits = np.zeros(size, np.uint8)
+    bits[(s & np.uint64(size - 1)).astype(np.int64)] = 1
+    return np.packbits(bits).tobytes()
+
+
+def _folded(bitmaps: list[bytes], size: int | None = None) -> np.ndarray:
+    """Bitmaps as rows of 64-bit words, all folded to the least size among them or to ``size`` bytes."""
+    size = size or min(map(len, bitmaps))
+    rows = [np.bitwise_or.reduce(np.frombuffer(x, np.uint64).reshape(-1, size // 8), axis=0) for x in bitmaps]
+    return np.array(rows, np.uint64).reshape(len(rows), size // 8)
 
 
 def describe(df: DataFrame, id_column: str, text: str) -> DataFrame:
@@ -89,13 +100,12 @@ def describe(df: DataFrame, id_column: str, text: str) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts = np.zeros(1 << SKETCH_BITS, np.int64)
         for rows in batches:
-            out = []
+            out, places = [], [np.zeros(0, np.int64)]
             for key, t in zip(rows["k"], rows["t"], strict=True):
                 s = shingles(t)
-                counts += np.bincount((s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=len(counts)) if len(s) > 4096 else 0
-                if 0 < len(s) <= 4096:
-                    np.add.at(counts, (s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), 1)
-                out.append((key, len(s), _set_id(s), _bitmap(s).tobytes()))
+                places.append((s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64))
+                out.append((key, len(s), _set_id(s), _bitmap(s)))
+            counts += np.bincount(np.concatenate(places), minlength=len(counts))
             yield pd.DataFrame(out, columns=["doc_id", "n", "id", "bitmap"]).astype({"doc_id": "Int64"}).assign(bucket=None, seen=None)
         used = np.flatnonzero(counts)
         yield pd.DataFrame({"doc_id": None, "n": None, "id": None, "bitmap": None, "bucket": used.astype(np.int32), "seen": counts[used]})
@@ -259,7 +269,7 @@ def cross_pairs(members: DataFrame) -> DataFrame:
             for a, b in zip(cut[:whole].tolist(), ends[:whole].tolist(), strict=True):
                 if b - a > 1:
                     g = rest.iloc[a:b]
-                    bits = np.frombuffer(b"".join(g["bitmap"]), np.uint64).reshape(b - a, BITMAP_WORDS)
+                    bits = _folded(g["bitmap"].tolist())
                     ids = g["id"].to_numpy(np.int64)
                     i, j = Tree(g["n"].to_numpy(np.int64), g["root"].to_numpy(np.int64), bits).candidates()
                     if len(i):
@@ -279,7 +289,10 @@ def _with_end(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame | None]:
 
 
 def links(pairs: DataFrame, classes: DataFrame, df: DataFrame, id_column: str, text: str) -> DataFrame:
-    """The pairs (``a, b``) that reach the threshold, by bitmaps and then by exact intersection."""
+    """The pairs (``a, b``) that reach the threshold, by bitmaps and then by exact intersection.
+
+    Rows that share an id and text give a pair more than once, which is harmless.
+    """
     num, den = SHARE
     side = lambda x: classes.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}"), F.col("bitmap").alias(f"bits_{x}"))
     sized = pairs.join(side("a"), "a").join(side("b"), "b").filter(
@@ -288,11 +301,13 @@ def links(pairs: DataFrame, classes: DataFrame, df: DataFrame, id_column: str, t
 
     def possible(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
-            if len(rows):
-                x, y = (np.frombuffer(b"".join(rows[c]), np.uint64).reshape(len(rows), BITMAP_WORDS) for c in ("bits_a", "bits_b"))
-                n, m = rows["n_a"].to_numpy(), rows["n_b"].to_numpy()
-                most = np.minimum(n - np.bitwise_count(x & ~y).sum(1), m - np.bitwise_count(y & ~x).sum(1))
-                yield rows.loc[(num + den) * most >= num * (n + m), ["a", "b", "n_a", "n_b"]]
+            keep = []
+            for a, b, n, m in zip(rows["bits_a"], rows["bits_b"], rows["n_a"], rows["n_b"], strict=True):
+                x, y = _folded([a, b])
+                both = int(np.bitwise_count(x & y).sum())
+                most = min(n - int(np.bitwise_count(x).sum()), m - int(np.bitwise_count(y).sum())) + both
+                keep.append((num + den) * most >= num * (n + m))
+            yield rows.loc[np.array(keep, bool), ["a", "b", "n_a", "n_b"]]
 
     left = materialize(sized.mapInPandas(possible, "a long, b long, n_a long, n_b long"), "pairs")
     wanted = left.select(F.explode(F.array("a", "b")).alias("id")).distinct().join(classes.select("id", "min_doc"), "id")
@@ -303,7 +318,7 @@ def links(pairs: DataFrame, classes: DataFrame, df: DataFrame, id_column: str, t
 
     texts = df.select(F.col(id_column).cast("long").alias("min_doc"), F.col(text).alias("t"))
     sets = materialize(
-        texts.join(wanted, "min_doc").select("id", "t").dropDuplicates(["id"]).mapInPandas(gather, "id long, s array<long>"), "sets"
+        texts.join(wanted, "min_doc").select("id", "t").mapInPandas(gather, "id long, s array<long>"), "sets"
     )
     joined = left.join(sets.select(F.col("id").alias("a"), F.col("s").alias("s_a")), "a").join(
         sets.select(F.col("id").alias("b"), F.col("s").alias("s_b")), "b"
