@@ -52,9 +52,16 @@ def next_month(progress: DataFrame, kind: str) -> DataFrame:
 
 
 def upsert_checkpoint(progress: DataFrame, updates: DataFrame) -> DataFrame:
-    """Progress with ``updates`` in place of rows of the same kind, year and month."""
-    kept = progress.join(updates.select(*PROGRESS_KEY), PROGRESS_KEY, "left_anti")
-    return kept.unionByName(updates.select(progress.columns))
+    """Progress with ``updates`` in place of rows of the same kind, year and month.
+
+    Several updates of one key leave one row, a failed one before any other.
+    """
+    rest = [c for c in progress.columns if c not in PROGRESS_KEY]
+    rank = F.struct((F.col("status") == NOT_UPLOADED).alias("_failed"), *rest)
+    single = updates.groupBy(*PROGRESS_KEY).agg(F.max(rank).alias("_top"))
+    single = single.select(*PROGRESS_KEY, *[F.col("_top")[c].alias(c) for c in rest])
+    kept = progress.join(single.select(*PROGRESS_KEY), PROGRESS_KEY, "left_anti")
+    return kept.unionByName(single.select(progress.columns))
 
 
 def backfill_list(progress: DataFrame, kind: str) -> DataFrame:

@@ -32,4 +32,11 @@ def publish_replace(
             writer = writer.option("path", path)
         writer.saveAsTable(table)
         return
-    ordered.write.option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True)
+    # insertInto takes the mode from the session only.
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        ordered.write.insertInto(table, overwrite=True)
+    finally:
+        spark.conf.set(mode, before)
