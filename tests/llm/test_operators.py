@@ -59,7 +59,7 @@ def test_tree_loses_no_pair():
     sets += [np.unique(np.r_[s[rng.integers(0, 12) :], rng.integers(0, 1 << 63, 3, dtype=np.uint64)]) for s in sets for _ in range(2)]
     n = np.array([len(s) for s in sets])
     tree = ngram_join.Tree(n, np.arange(len(sets)), ngram_join._folded([ngram_join._bitmap(s) for s in sets]))
-    kept = {tuple(sorted(p)) for p in zip(*map(list, tree.candidates()), strict=True)}
+    kept = {tuple(sorted(p)) for i, j, _ in tree.candidates() for p in zip(i.tolist(), j.tolist(), strict=True)}
     for i in range(len(sets)):
         for j in range(i):
             both = len(np.intersect1d(sets[i], sets[j]))

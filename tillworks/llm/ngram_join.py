@@ -7,15 +7,17 @@ order, so each such shingle is a block.  The order puts shingles last that a
 sketch of ``SKETCH`` counters over all documents shows to be frequent: passages
 that many documents share then form no blocks.
 
-Links are found in two steps.  First each class is compared with its likeliest
-partner in its blocks, and what links is joined to components.  Then every block
-that still holds several components is a signature tree: nodes hold the OR of
+Every block of several components is a signature tree: nodes hold the OR of
 their members' bitmaps, the range of their sizes and of their components.  A
 dual traversal drops pairs of nodes whose sizes differ too much, whose largest
 possible overlap is too small, or which lie within one component; pairs of
-leaves that remain are compared by their members' bitmaps.  All pairs left are
-decided by exact intersection.  No link between different components is lost,
-and groups of thousands of near copies need no pair for each two of them.
+leaves that remain are compared by their members' bitmaps.  In the first
+``FORESTS`` rounds a tree gives only a spanning forest of the pairs that remain,
+the likeliest first, and what an exact intersection confirms becomes one
+component.  Blocks that held pairs back and still hold several components come
+again, in the last round with all their pairs.  No link between different
+components is lost, and groups of thousands of near copies need no pair for
+each two of them.
 
 Cases: null or empty texts and texts without words have the empty set, size 0,
 and are components of their own; texts with fewer than n words are one
@@ -44,6 +46,8 @@ LEAST_BITS = 512
 LEAF = 16
 FAN = 4
 KNOWN_WORDS = 300_000
+FORESTS = 2
+CHUNK = 200_000
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 
@@ -154,7 +158,7 @@ def block_rows(df: DataFrame, text: str, classes: np.ndarray) -> DataFrame:
 
 
 def shared_blocks(rows: DataFrame) -> DataFrame:
-    """``h, id, n, prev``: members of blocks of two sets or more, ``prev`` being the one before by size.
+    """``h, id, n``: members of blocks of two sets or more.
 
     Blocks are streamed in order; a block is never gathered.
     """
@@ -175,12 +179,10 @@ def shared_blocks(rows: DataFrame) -> DataFrame:
                 begins[0] = False
             out = joins | begins
             # The first row of a batch that goes on with a block is the held one.
-            yield pd.DataFrame({"h": h[out], "id": key[out], "n": n[out], "prev": pd.array(np.r_[0, key[:-1]], "Int64")[out]}).assign(
-                prev=lambda x: x["prev"].mask(begins[out])  # noqa: B023
-            )
+            yield pd.DataFrame({"h": h[out], "id": key[out], "n": n[out]})
             held = (h[-1], key[-1], n[-1], bool(joins[-1] or (given and len(h) == 1)))
 
-    return rows.repartition("h").sortWithinPartitions("h", "n", "id").mapInPandas(run, "h long, id long, n int, prev long")
+    return rows.repartition("h").sortWithinPartitions("h", "n", "id").mapInPandas(run, "h long, id long, n int")
 
 
 class Tree:
@@ -204,8 +206,8 @@ class Tree:
             level = {k: f.reduceat(level[k], starts) for k, f in joins.items()}
             self.levels.append(level)
 
-    def candidates(self) -> tuple[np.ndarray, np.ndarray]:
-        """Members that may link across components, by dual traversal from the root pair."""
+    def candidates(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Members that may link across components and their likeness by bitmaps, by dual traversal from the root pair."""
         a = b = np.zeros(1, np.int64)
         for depth in range(len(self.levels) - 1, -1, -1):
             a, b = self._kept(depth, a, b)
@@ -216,10 +218,8 @@ class Tree:
                 b = (b[:, None] * FAN + j.ravel()).ravel()
                 live = (a <= b) & (b < size)
                 a, b = a[live], b[live]
-        found = [self._within(x, y) for x, y in zip(a.tolist(), b.tolist(), strict=True)]
-        if not found:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+        for x, y in zip(a.tolist(), b.tolist(), strict=True):
+            yield self._within(x, y)
 
     def _kept(self, depth: int, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         v = self.levels[depth]
@@ -232,7 +232,7 @@ class Tree:
         keep = (num + den) * most >= num * (v["low"][a] + v["low"][b])
         return a[keep], b[keep]
 
-    def _within(self, x: int, y: int) -> tuple[np.ndarray, np.ndarray]:
+    def _within(self, x: int, y: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         p, q = np.arange(x * LEAF, min((x + 1) * LEAF, len(self.n))), np.arange(y * LEAF, min((y + 1) * LEAF, len(self.n)))
         both = np.bitwise_count(self.bits[p][:, None] & self.bits[q][None]).sum(2)
         most = both + np.minimum(self.slack[p][:, None], self.slack[q][None])
@@ -243,14 +243,66 @@ class Tree:
         if x == y:
             keep &= p[:, None] < q[None]
         i, j = np.nonzero(keep)
-        return p[i], q[j]
+        alike = both[i, j] / (self.ones[p[i]] + self.ones[q[j]] - both[i, j])
+        return p[i], q[j], alike
+
+
+def _spanning(root: np.ndarray, i: np.ndarray, j: np.ndarray, alike: np.ndarray) -> np.ndarray:
+    """Places of the edges ``i, j`` of a spanning forest over components, the likeliest edges first."""
+    names, at = np.unique(root, return_inverse=True)
+    parent, left, kept = list(range(len(names))), len(names), []
+    order = np.argsort(-alike, kind="stable")
+    for e, u, v in zip(order.tolist(), at[i[order]].tolist(), at[j[order]].tolist(), strict=True):
+        while parent[u] != u:
+            parent[u] = u = parent[parent[u]]
+        while parent[v] != v:
+            parent[v] = v = parent[parent[v]]
+        if u != v:
+            parent[u] = v
+            kept.append(e)
+            left -= 1
+            if left == 1:
+                break
+    return np.array(kept, np.int64)
+
+
+def _joined(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+
+
+def _group_pairs(group: pd.DataFrame, whole: bool) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
+    """``a, b`` of a group's signature tree and whether pairs were held back."""
+    root = group["root"].to_numpy(np.int64)
+    if root[0] == root[-1]:
+        return
+    ids = group["id"].to_numpy(np.int64)
+    found, size, back = [], 0, False
+    for part in Tree(group["n"].to_numpy(np.int64), root, _folded(group["bitmap"].tolist())).candidates():
+        found.append(part)
+        size += len(part[0])
+        if size > CHUNK:
+            i, j, alike = _joined(found)
+            if whole:
+                yield ids[i], ids[j], False
+                found, size = [], 0
+                continue
+            kept = _spanning(root, i, j, alike)
+            found, size, back = [(i[kept], j[kept], alike[kept])], len(kept), True
+    if size:
+        i, j, alike = _joined(found)
+        if not whole:
+            kept = _spanning(root, i, j, alike)
+            i, j, back = i[kept], j[kept], back or len(kept) < len(i)
+        yield ids[i], ids[j], back
 
 
-def cross_pairs(members: DataFrame) -> DataFrame:
-    """``a, b``: pairs across components that a block's signature tree lets through.
+def cross_pairs(members: DataFrame, whole: bool) -> DataFrame:
+    """``a, b, h``: pairs across components that a block's signature tree lets through.
 
     ``members`` has ``h, id, n, root, bitmap``.  Members go to a group by the band
-    of their size and to the next one, so a group spans a factor of 1.6.
+    of their size and to the next one, so a group spans a factor of 1.6.  Unless
+    ``whole``, a group gives a spanning forest of its components, and a row with
+    only ``h`` tells of a block that held pairs back.
     """
     band = F.floor(F.log(F.col("n").cast("double")) / float(np.log(SHARE[1] / SHARE[0])) + 1e-9).cast("int")
     dealt = members.withColumn("_band", band).withColumn("band", F.explode(F.array(F.col("_band"), F.col("_band") + 1)))
@@ -265,21 +317,19 @@ def cross_pairs(members: DataFrame) -> DataFrame:
             key = rest[["h", "band"]].to_numpy()
             cut = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]).any(1)])
             ends = np.r_[cut[1:], len(rest)]
-            whole = len(cut) if part is None else len(cut) - 1
-            for a, b in zip(cut[:whole].tolist(), ends[:whole].tolist(), strict=True):
-                if b - a > 1:
-                    g = rest.iloc[a:b]
-                    bits = _folded(g["bitmap"].tolist())
-                    ids = g["id"].to_numpy(np.int64)
-                    i, j = Tree(g["n"].to_numpy(np.int64), g["root"].to_numpy(np.int64), bits).candidates()
-                    if len(i):
-                        yield pd.DataFrame({"a": np.minimum(ids[i], ids[j]), "b": np.maximum(ids[i], ids[j])})
+            done = len(cut) if part is None else len(cut) - 1
+            for x, y in zip(cut[:done].tolist(), ends[:done].tolist(), strict=True):
+                if y - x > 1:
+                    for a, b, back in _group_pairs(rest.iloc[x:y], whole):
+                        pairs = pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b), "h": None})
+                        held = pd.DataFrame({"a": [None], "b": [None], "h": [int(key[x, 0])]})
+                        yield (pd.concat([pairs, held]) if back else pairs).astype("Int64")
             rest = None if part is None else rest.iloc[cut[-1] :]
 
     order = ["h", "band", "root", "n", "id"]
     return (
         dealt.select(*order, "bitmap").repartition("h", "band").sortWithinPartitions(*order)
-        .mapInPandas(run, "a long, b long").distinct()
+        .mapInPandas(run, "a long, b long, h long").distinct()
     )
 
 
@@ -327,6 +377,22 @@ def links(pairs: DataFrame, classes: DataFrame, df: DataFrame, id_column: str, t
     return joined.filter(den * both >= num * (F.col("n_a") + F.col("n_b") - both)).select("a", "b")
 
 
+def merge(roots: DataFrame | None, linked: DataFrame) -> DataFrame:
+    """``id, root`` after the pairs ``linked`` have been joined to the components ``roots``."""
+    if roots is None:
+        return components(linked)
+    at = lambda x: roots.select(F.col("id").alias(x), F.col("root").alias(f"r_{x}"))
+    between = linked.join(at("a"), "a", "left").join(at("b"), "b", "left").select(
+        F.coalesce("r_a", "a").alias("a"), F.coalesce("r_b", "b").alias("b")
+    )
+    merged = components(between).select(F.col("id").alias("r"), F.col("root").alias("r2"))
+    # A root that was no member of a component yet is a member from now on.
+    known = roots.unionByName(merged.select(F.col("r").alias("id"), F.col("r").alias("root"))).distinct()
+    return materialize(
+        known.join(merged, known["root"] == merged["r"], "left").select("id", F.coalesce("r2", "root").alias("root")).distinct(), "roots"
+    )
+
+
 def near_duplicates(df: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """``id, n_shingles, component_id`` for every row of ``df``."""
     described = materialize(describe(df, id_column, text), "described")
@@ -337,34 +403,29 @@ def near_duplicates(df: DataFrame, id_column: str = "doc_id", text: str = "text"
         "classes",
     )
     blocks = materialize(shared_blocks(block_rows(df, text, frequency_classes(described))), "blocks")
-    # The partner met in most blocks; ties go to the lower id.
-    partners = (
-        blocks.filter("prev IS NOT NULL").groupBy("id", "prev").count()
-        .groupBy("id").agg(F.max(F.struct("count", (-F.col("prev")).alias("p"))).alias("m"))
-        .select(F.least("id", -F.col("m.p")).alias("a"), F.greatest("id", -F.col("m.p")).alias("b")).distinct()
-    )
-    first = materialize(links(partners, classes, df, id_column, text), "links")
-    roots = components(first)
-    # Blocks of several components; of blocks with the same members one is enough.
-    placed = materialize(
-        blocks.select("h", "id", "n").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id")), "placed"
-    )
-    mixed = (
-        placed.groupBy("h").agg(
-            F.min("root").alias("r0"), F.max("root").alias("r1"), F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64("id")).alias("mark")
+    roots, open_blocks = None, blocks
+    for turn in range(FORESTS + 1):
+        placed = open_blocks.withColumn("root", F.col("id"))
+        if roots is not None:
+            placed = open_blocks.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+        placed = materialize(placed, "placed")
+        # Blocks of several components; of blocks with the same members one is enough.
+        mixed = (
+            placed.groupBy("h").agg(
+                F.min("root").alias("r0"), F.max("root").alias("r1"), F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64("id")).alias("mark")
+            )
+            .filter("r0 <> r1").groupBy("size", "mark").agg(F.min("h").alias("h"))
         )
-        .filter("r0 <> r1").groupBy("size", "mark").agg(F.min("h").alias("h"))
-    )
-    members = placed.join(mixed.select("h"), "h", "left_semi").join(classes.select("id", "bitmap"), "id")
-    second = links(cross_pairs(members), classes, df, id_column, text)
-    at = lambda x: roots.select(F.col("id").alias(x), F.col("root").alias(f"r_{x}"))
-    between = second.join(at("a"), "a", "left").join(at("b"), "b", "left").select(
-        F.coalesce("r_a", "a").alias("a"), F.coalesce("r_b", "b").alias("b")
-    )
-    merged = components(between).select(F.col("id").alias("r"), F.col("root").alias("r2"))
+        members = placed.join(mixed.select("h"), "h", "left_semi").join(classes.select("id", "bitmap"), "id")
+        found = materialize(cross_pairs(members, turn == FORESTS), "pairs")
+        linked = links(found.filter("a IS NOT NULL").select("a", "b"), classes, df, id_column, text)
+        roots = merge(roots, linked)
+        held = found.filter("h IS NOT NULL").select("h")
+        if held.isEmpty():
+            break
+        open_blocks = placed.select("h", "id", "n").join(held, "h", "left_semi")
     final = (
-        classes.select("id", "min_doc").join(roots, "id", "left").withColumn("r", F.coalesce("root", "id"))
-        .join(merged, "r", "left").select("id", "min_doc", F.coalesce("r2", "r").alias("root"))
+        classes.select("id", "min_doc").join(roots, "id", "left").select("id", "min_doc", F.coalesce("root", "id").alias("root"))
     )
     least = final.groupBy("root").agg(F.min("min_doc").alias("component_id"))
     by_class = final.join(least, "root").select(F.col("id").alias("_id"), "component_id")
