@@ -81,6 +81,14 @@ def test_packing_round_trip(spark):
     assert all(v == 64 for k, v in ends.items() if k < max(ends))
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.text(max_size=60) | st.text(alphabet="aé'sT 1\n\t\u00a0\u2003\u3042中\u0301.<|>", max_size=60))
+def test_ids_are_those_of_tokenizers(t):
+    encode = packing.encoder(vocabulary())
+    for x in (t, t + packing.SPECIAL + t, t + " " * 1200 + t):
+        assert encode.encode([x])[0].tolist() == encode.tokenizer.encode(x, add_special_tokens=False).ids
+
+
 def test_mixing(spark):
     mixed = mixing.mix(documents(spark, TEXTS))[0].toPandas()
     assert len(mixed) == len(TEXTS)
