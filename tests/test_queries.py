@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tillworks import queries
 from tillworks.plans import incremental
-from tillworks.sources import publish
+from tillworks.sources import months, publish
 
 DATA = "/root/testdata/sf0.001"
 
@@ -72,3 +72,30 @@ def test_upsert_leaves_one_row_of_a_key(spark):
     new = spark.createDataFrame([("invoice", 2012, 1, "File Created"), ("invoice", 2012, 1, incremental.NOT_UPLOADED)], old.schema)
     done = sorted(map(tuple, incremental.upsert_checkpoint(old, new).collect()))
     assert done == [("invoice", 2012, 1, incremental.NOT_UPLOADED), ("invoice", 2012, 10, "File Created")]
+
+
+def test_a_month_rebuilt_to_nothing_loses_its_rows(spark, tmp_path):
+    rows = spark.createDataFrame([(1, 2012, 1), (2, 2012, 2), (3, 2012, 3)], "x int, Year int, Month int")
+    path = str(tmp_path / "fact")
+    months.write_months(rows, path, sort_by=["x"])
+    months.write_months(rows.filter("x = 2"), path, sort_by=["x"], months=[(2012, 2), (2012, 3)])
+    assert sorted(r.x for r in spark.read.parquet(path).collect()) == [1, 2]
+
+
+def test_monthly_feed_takes_failed_months_first_and_goes_on_after_an_error(spark, tmp_path, monkeypatch):
+    feed = spark.createDataFrame([(1, 2012, m) for m in range(1, 6)], "x int, Year int, Month int")
+    feed.write.partitionBy("Year", "Month").parquet(str(tmp_path / "feed"))
+    store, runs = incremental.ProgressStore(spark, str(tmp_path / "progress")), []
+    store.mark("invoice", [(2012, 4)], incremental.NOT_UPLOADED)
+
+    def run(spark, feed_root, fact_root, dims, wanted):
+        runs.append(wanted)
+        if (2012, 1) in wanted:
+            raise ValueError("bad month")
+
+    monkeypatch.setattr(incremental, "run_months", run)
+    with pytest.raises(ValueError):
+        incremental.monthly_feed(spark, str(tmp_path / "feed"), "", {}, store, batch=2)
+    assert runs == [[(2012, 4)], [(2012, 1), (2012, 2)], [(2012, 3), (2012, 5)]]
+    failed = {(r.year, r.month) for r in incremental.backfill_list(store.read(), "invoice").collect()}
+    assert failed == {(2012, 1), (2012, 2)}

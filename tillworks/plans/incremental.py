@@ -137,7 +137,7 @@ def run_months(
 ) -> None:
     """Build the fact for whole months and replace just those months."""
     feed = read_months(spark, feed_root, months)
-    write_months(build_fact(feed, *[dims[n] for n in FACT_INPUTS]), fact_root)
+    write_months(build_fact(feed, *[dims[n] for n in FACT_INPUTS]), fact_root, months=months)
 
 
 def monthly_feed(
@@ -148,13 +148,15 @@ def monthly_feed(
     store: ProgressStore,
     kind: str = "invoice",
     until: tuple[int, int] | None = None,
+    batch: int = 12,
 ) -> list[tuple[int, int]]:
     """Bring the fact up to date: failed months first, then the missing ones.
 
-    All pending months run as one Spark job.  Their list is bounded by the
-    calendar; months without feed data stay pending.  A month is marked done
-    only after its data is written, and a failed run marks it for backfill.
-    Returns the months written.
+    Failed months run one by one, the rest in runs of ``batch`` months, which
+    leaves the result alone.  Their list is bounded by the calendar; months
+    without feed data stay pending.  Months are marked done after their data is
+    written; a run that fails marks its months for backfill, the others go on,
+    and the first error is raised at the end.  Returns the months written.
     """
     available = months_of(spark.read.parquet(feed_root))
     if until:
@@ -164,15 +166,22 @@ def monthly_feed(
     progress = store.read()
     done = progress.filter((F.col("kind") == _check(kind)) & F.col("status").isin(*DONE))
     pending = [(r.year, r.month) for r in backfill_plan(available, done).sort("year", "month").collect()]
-    if not pending:
-        return []
-    try:
-        run_months(spark, feed_root, fact_root, dims, pending)
-    except Exception:
-        store.mark(kind, pending, NOT_UPLOADED)
-        raise
-    store.mark(kind, pending, CREATED)
-    return pending
+    failed = {(r.year, r.month) for r in backfill_list(progress, kind).collect()}
+    rest = [m for m in pending if m not in failed]
+    runs = [[m] for m in pending if m in failed] + [rest[i : i + batch] for i in range(0, len(rest), batch)]
+    written, errors = [], []
+    for run in runs:
+        try:
+            run_months(spark, feed_root, fact_root, dims, run)
+        except Exception as error:
+            store.mark(kind, run, NOT_UPLOADED)
+            errors.append(error)
+        else:
+            store.mark(kind, run, CREATED)
+            written += run
+    if errors:
+        raise errors[0]
+    return written
 
 
 def new_store(spark: SparkSession) -> ProgressStore:

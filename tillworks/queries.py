@@ -525,3 +525,18 @@ def upsert_checkpoint(spark, sf_dir):
     old = _progress(spark, sf_dir, "true")
     failed = _progress(spark, sf_dir, "month % 5 = 0").withColumn("status", F.lit("NOT UPLOADED"))
     return incremental.upsert_checkpoint(old, failed.unionByName(failed)).select("kind", "year", "month", "status")
+
+
+@register("latest_checkpoint", f"SELECT year, month FROM ({_MONTHS}) WHERE month % 5 <> 0 ORDER BY year DESC, month DESC LIMIT 1")
+def latest_checkpoint(spark, sf_dir):
+    return incremental.latest_checkpoint(_progress(spark, sf_dir, "month % 5 <> 0"), "invoice")
+
+
+@register("next_month", f"SELECT CAST(year(d) AS INT) AS year, CAST(month(d) AS INT) AS month FROM (SELECT max(make_date(year, month, 1)) + INTERVAL 1 MONTH AS d FROM ({_MONTHS}))")
+def next_month(spark, sf_dir):
+    return incremental.next_month(_progress(spark, sf_dir, "true"), "invoice")
+
+
+@register("backfill_list", f"SELECT year, month FROM ({_MONTHS}) WHERE month % 5 = 0")
+def backfill_list(spark, sf_dir):
+    return incremental.backfill_list(upsert_checkpoint(spark, sf_dir), "invoice")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tillworks.functions.typed import feed_date
@@ -54,14 +54,22 @@ def write_months(
     root: str,
     sort_by: list[str] | None = None,
     files_per_month: int | None = None,
+    months: list[tuple[int, int]] | None = None,
 ) -> None:
     """Replace the months present in ``df`` and leave all others as they are.
 
+    With ``months``, those of them that ``df`` does not hold lose their old rows
+    too, once the rest is written; rows are counted by month during the write.
+
     Rerunning a month gives the same result.  Files are sorted inside, by
     ``Invoice_Item Number`` unless told otherwise; ``files_per_month`` fixes the
     number of files where a consumer wants, say, one per month.
     """
     sort_by = ["Invoice_Item Number"] if sort_by is None else sort_by
+    seen = Observation()
+    if months:
+        counts = [F.count(F.when((F.col("Year") == y) & (F.col("Month") == m), 1)).alias(f"{y}-{m}") for y, m in months]
+        df = df.observe(seen, *counts)
     if files_per_month:
         slot = F.pmod(F.xxhash64(*[c for c in df.columns if c not in MONTH]), F.lit(files_per_month))
         spread = df.repartition(*MONTH, slot)
@@ -74,3 +82,13 @@ def write_months(
         .partitionBy(*MONTH)
         .parquet(root)
     )
+    if months:
+        found = seen.get
+        for y, m in months:
+            if not found[f"{y}-{m}"]:
+                _remove_folder(df.sparkSession, f"{root}/Year={y}/Month={m}")
+
+
+def _remove_folder(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
