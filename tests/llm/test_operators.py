@@ -53,6 +53,26 @@ def test_ngram_join(spark):
     assert got == jaccard_components(TEXTS)
 
 
+def test_ngram_join_of_copies_about_the_threshold(spark):
+    """Chains of edits: neighbours link, far ones do not, and blocks hold pairs back."""
+    draw, texts = random.Random(9), []
+    for _ in range(3):
+        words = [draw.choice(WORDS) for _ in range(100)]
+        for k in range(25):
+            words = words[:]
+            for _ in range(draw.choice([1, 1, 2, 3])):
+                words[draw.randrange(100)] = f"n{draw.random()}"
+            texts.append(" ".join(words))
+    got = {r[0]: (r[1], r[2]) for r in ngram_join.near_duplicates(documents(spark, texts)).collect()}
+    assert got == jaccard_components(texts)
+
+
+def test_spanning_forest_takes_the_likeliest():
+    i, j = np.array([0, 1, 0, 3]), np.array([1, 2, 2, 4])
+    kept = ngram_join._spanning(np.arange(5), i, j, np.array([0.9, 0.5, 0.8, 0.7]))
+    assert sorted(kept.tolist()) == [0, 2, 3]
+
+
 def test_tree_loses_no_pair():
     rng = np.random.default_rng(1)
     sets = [np.unique(rng.integers(0, 1 << 63, 60, dtype=np.uint64)) for _ in range(30)]
