@@ -11,6 +11,7 @@ from hypothesis import strategies as st
 
 from tillworks.llm import html_text, language, mixing, ngram_join, packing, pii, quality, syncmers, toxicity, url_rules
 from tillworks.llm.common import settings as session_settings
+from tillworks.llm.components import components
 from tillworks.llm.queries import vocabulary
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score string, size string, id string"
@@ -67,6 +68,15 @@ def test_ngram_join_of_copies_about_the_threshold(spark):
     assert got == jaccard_components(texts)
 
 
+def test_components_of_star_path_and_ring(spark):
+    edges = [(0, i) for i in range(1, 60)] + [(i, i + 1) for i in range(100, 140)] + [(200, 201), (201, 202), (202, 200), (300, 300)]
+    rows = components(spark.createDataFrame(edges, "a long, b long")).collect()
+    got = {}
+    for r in rows:
+        got.setdefault(r["root"], set()).add(r["id"])
+    assert sorted(map(sorted, got.values())) == [list(range(60)), list(range(100, 141)), [200, 201, 202]]
+
+
 def test_spanning_forest_takes_the_likeliest():
     i, j = np.array([0, 1, 0, 3]), np.array([1, 2, 2, 4])
     kept = ngram_join._spanning(np.arange(5), i, j, np.array([0.9, 0.5, 0.8, 0.7]))
