@@ -204,3 +204,31 @@ def test_models_on_edge_cases(spark):
                   pii.find(none, pii.train(none, "doc_id", "text"), "doc_id", "text"), mixing.mix(none)[0],
                   packing.pack(none, "doc_id", "text", vocabulary()), language.predict(none, None, "doc_id", "text")):
         assert empty.count() == 0
+
+
+def test_toxicity_rates_words_by_every_ngram(spark, monkeypatch):
+    session_settings(spark)
+    rng = random.Random(3)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(1, 9))) for _ in range(300)]
+    texts = [None, "", *[" ".join(rng.choice(words) for _ in range(30)) for _ in range(60)]]
+    docs = spark.createDataFrame([(i if i % 5 else None, t, i % 2) for i, t in enumerate(texts)], "doc_id long, text string, y int")
+    grams = toxicity.count_grams(docs, "text", "y")
+    table = toxicity.ratios(grams).localCheckpoint()
+    known = {r["g"]: r["r"] for r in table.collect()}
+    assert grams.count() == sum(len(g) == toxicity.ORDER for g in known)
+
+    def ratio(w):
+        p = " " * (toxicity.ORDER - 1) + w + "\n"
+        windows = [p[i : i + toxicity.ORDER] for i in range(len(w) + 1)]
+        return sum(known.get(g, known.get(g[:-1], 0.0)) for g in windows)
+
+    want = []
+    for t in [*texts, "unseenwörd " + words[0]]:
+        ws = re.findall(r"[^\W\d_]+", (t or "").lower())
+        top = sorted(sorted({round(ratio(w), 9) for w in ws}, reverse=True)[:3] + [0.0, 0.0], reverse=True)
+        want.append([1.0, 10 * sum(map(ratio, ws)) / sum(len(w) + 1 for w in ws), max(ratio(w) / (len(w) + 1) for w in ws), top[0], sum(top[:3]) / 3] if ws else [1.0, 0, 0, 0, 0])
+    more = docs.unionByName(spark.createDataFrame([(7, "unseenwörd " + words[0], 0)], docs.schema))
+    for frequent in (0, 40, 50_000):
+        monkeypatch.setattr(toxicity, "FREQUENT", frequent)
+        got = [r["x"] for r in toxicity.features(more, table, ["doc_id"], "text").collect()]
+        assert np.allclose(np.array(sorted(got)), np.array(sorted(want)), atol=1e-6)

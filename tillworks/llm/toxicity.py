@@ -10,8 +10,8 @@ seen neither, the shared part cancels.  A word's ratio is the sum over its
 characters; a document is described by length-normalised ratios (of the whole
 text and of its most telling words), which a logistic model turns into a score.
 
-The tables for scoring hold ``SLOTS`` n-grams at most, in slots by hash with a
-check value; the most frequent one keeps a slot.  Counting itself has no limit.
+The ratios are a Spark table of every n-gram counted.  Words are rated by joins
+with it, and rows by joins with the rated words; nothing is dropped.
 
 Cases: a null or empty text has no words and gets the score of zero ratios;
 without labels of both classes every score is the share of toxic labels;
@@ -23,6 +23,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -33,13 +34,12 @@ from tillworks.session import materialize
 
 ORDER = 5
 DISCOUNT = 0.75
-SLOTS = 1 << 20
 # The logistic model is fitted on about this many labelled rows, kept out of the counts.
 CALIBRATION_ROWS = 3000
 FLUSH = 200_000
+# So many words' ratios are held by a task; those of all others are joined.
+FREQUENT = 50_000
 WORD = re.compile(r"[^\W\d_]+")
-_MIX = np.uint64(0x9E3779B97F4A7C15)
-_MUL = np.uint64(0xC2B2AE3D27D4EB4F)
 
 
 def _codes(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -117,7 +117,7 @@ def shared_model(grams: DataFrame) -> DataFrame:
 
 
 def ratios(grams: DataFrame) -> DataFrame:
-    """``g, n, r``: log-likelihood ratios of n-grams, and of contexts with an unseen end (shorter by one)."""
+    """``g, r``: log-likelihood ratios of n-grams, and of contexts with an unseen end (shorter by one)."""
     head = F.substring("g", 1, ORDER - 1)
     heads = grams.groupBy(head.alias("h")).agg(
         F.sum("n0").alias("s0"), F.sum("n1").alias("s1"),
@@ -135,69 +135,123 @@ def ratios(grams: DataFrame) -> DataFrame:
     model = shared_model(grams).withColumnRenamed("g", "low")
     seen = (
         grams.withColumn("h", head).join(heads, "h").join(model, F.substring("g", 2, ORDER - 1) == F.col("low"))
-        .select("g", (F.col("n0") + F.col("n1")).alias("n"), F.ln(prob(1) / prob(0)).alias("r"))
+        .select("g", F.ln(prob(1) / prob(0)).alias("r"))
     )
-    ends = heads.select(F.col("h").alias("g"), (F.col("s0") + F.col("s1")).alias("n"), F.ln(share(1) / share(0)).alias("r"))
+    ends = heads.select(F.col("h").alias("g"), F.ln(share(1) / share(0)).alias("r"))
     return seen.unionByName(ends)
 
 
-def _hash(codes: np.ndarray, live: np.ndarray, width: int) -> np.ndarray:
-    view = np.lib.stride_tricks.sliding_window_view(codes, width)[live].astype(np.uint64)
-    h = np.full(len(live), np.uint64(width))
-    for i in range(width):
-        h = (h ^ view[:, i]) * _MUL
-        h ^= h >> np.uint64(31)
-    return h * _MIX
+def word_counts(df: DataFrame, text: str) -> DataFrame:
+    """``word, n``: every distinct word of all rows and how often it stands there."""
 
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: Counter = Counter()
 
-def _table(rows: pd.DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
-    check, value = np.zeros(SLOTS, np.uint32), np.zeros(SLOTS, np.float32)
-    part = rows[rows["g"].str.len() == width].sort_values(["n", "g"])
-    if len(part):
-        codes = np.frombuffer("".join(part["g"]).encode("utf-32-le", "surrogatepass"), dtype="<u4")
-        h = _hash(codes, np.arange(0, len(codes), width), width)
-        slot = (h >> np.uint64(44)).astype(np.int64)
-        check[slot], value[slot] = (h & np.uint64(0xFFFFFFFF)).astype(np.uint32) | np.uint32(1), part["r"].to_numpy(np.float32)
-    return check, value
+        def flush():
+            if seen:
+                yield pd.DataFrame({"word": np.array(list(seen), object), "n": list(seen.values())})
+                seen.clear()
 
+        for rows in batches:
+            for t in rows["t"]:
+                if t:
+                    seen.update(WORD.findall(t.lower()))
+            if len(seen) > FLUSH:
+                yield from flush()
+        yield from flush()
 
-def _look(table: tuple[np.ndarray, np.ndarray], h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    slot = (h >> np.uint64(44)).astype(np.int64)
-    hit = table[0][slot] == ((h & np.uint64(0xFFFFFFFF)).astype(np.uint32) | np.uint32(1))
-    return hit, np.where(hit, table[1][slot], 0.0)
+    local = df.select(F.col(text).alias("t")).mapInPandas(run, "word string, n long")
+    return local.groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def word_ratios(words: DataFrame, table: DataFrame) -> DataFrame:
+    """``word, n, r``: the log-likelihood ratio of each word, over its characters and its end."""
+    padded = F.concat(F.lit(" " * (ORDER - 1)), F.col("word"), F.lit("\n"))
+    windows = F.transform(F.sequence(F.lit(1), F.char_length("word") + 1), lambda i: F.substring(padded, i, F.lit(ORDER)))
+    grams = words.select("word", "n", F.explode(windows).alias("g"))
+    back = table.filter(F.char_length("g") == ORDER - 1).select(F.col("g").alias("h"), F.col("r").alias("back"))
+    own = table.filter(F.char_length("g") == ORDER)
+    # The same n-gram stands in many words: its ratio is looked up once.
+    known = (
+        grams.select("g").distinct().join(own, "g", "left").withColumn("h", F.substring("g", 1, ORDER - 1)).join(back, "h", "left")
+        .select("g", F.coalesce("r", "back", F.lit(0.0)).alias("r"))
+    )
+    return grams.join(known, "g").groupBy("word").agg(F.first("n").alias("n"), F.sum("r").alias("r"))
 
 
-def word_ratios(words: list[str], tables) -> np.ndarray:
-    """The log-likelihood ratio of each word, over its characters and its end."""
-    codes, starts = _codes(words)
-    live = _live(codes, ORDER)
-    hit, r = _look(tables[1], _hash(codes, live, ORDER))
-    _, back = _look(tables[0], _hash(codes, live, ORDER - 1))
-    return np.bincount(np.searchsorted(starts, live, "right") - 1, np.where(hit, r, back), len(words))
+N_FEATURES = 5
 
 
-N_FEATURES = 5
+def _row(total: float, size: int, most: float, top: list[float]) -> list[float]:
+    """1, the ratio per character, and those of the most telling words."""
+    if not size:
+        return [1.0] + [0.0] * (N_FEATURES - 1)
+    # Repeats of one word speak for themselves once in the maxima.
+    top = sorted(sorted(set(top), reverse=True)[:3] + [0.0, 0.0], reverse=True)
+    return [1.0, 10 * total / size, most, top[0], sum(top[:3]) / 3]
+
+
+def features(df: DataFrame, table: DataFrame, keep: list[str], text: str) -> DataFrame:
+    """``keep`` and ``x``, the features of the text, for every row.
+
+    Words are rated by the whole ``table``.  Ratios of frequent words are sent to the
+    tasks, at most ``FREQUENT`` of them; those of all other words are joined to the rows.
+    """
+    rated = materialize(word_ratios(materialize(word_counts(df, text), "words"), table), "rated")
+    sizes = dict(rated.groupBy(F.floor(F.log2("n")).alias("k")).count().collect())
+    least, held = 64, 0
+    while least > 1 and held + sizes.get(least - 1, 0) <= FREQUENT:
+        least -= 1
+        held += sizes.get(least, 0)
+    frequent = F.floor(F.log2("n")) >= least
+    known = rated.filter(frequent).select("word", "r").toPandas()
+    shared = df.sparkSession.sparkContext.broadcast(dict(zip(known["word"], known["r"].tolist(), strict=True)))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        ratio = shared.value
+        for rows in batches:
+            out = []
+            for t in rows.pop("_t"):
+                words = Counter(WORD.findall(t.lower())) if t else {}
+                total, size, most, top, rare = 0.0, 0, None, set(), []
+                for w, n in words.items():
+                    size += n * (len(w) + 1)
+                    r = ratio.get(w)
+                    if r is None:
+                        rare.append(w)
+                    else:
+                        total += n * r
+                        top.add(r)
+                        most = r / (len(w) + 1) if most is None else max(most, r / (len(w) + 1))
+                out.append((total, size, most, sorted(top, reverse=True)[:3], rare, [words[w] for w in rare]))
+            names = ["_total", "_size", "_most", "_top", "_rare", "_times"]
+            yield pd.concat([rows.reset_index(drop=True), pd.DataFrame(out, columns=names)], axis=1)
+
+    source = df.select(*keep, F.monotonically_increasing_id().alias("_row"), F.col(text).alias("_t"))
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema if f.name != "_t")
+    held_parts = "_total double, _size long, _most double, _top array<double>, _rare array<string>, _times array<int>"
+    parts = materialize(source.mapInPandas(run, f"{fields}, {held_parts}"), "parts")
+    rest = (
+        parts.select("_row", F.explode(F.arrays_zip("_rare", "_times")).alias("w"))
+        .select("_row", F.col("w._rare").alias("word"), F.col("w._times").alias("times"))
+        .join(rated.filter(~frequent).select("word", "r"), "word")
+        .groupBy("_row").agg(
+            F.sum(F.col("times") * F.col("r")).alias("_total2"), F.max(F.col("r") / (F.char_length("word") + 1)).alias("_most2"),
+            F.slice(F.sort_array(F.collect_set("r"), False), 1, 3).alias("_top2"),
+        )
+    )
+    both = parts.drop("_rare", "_times").join(rest, "_row", "left").select(
+        *keep, (F.col("_total") + F.coalesce("_total2", F.lit(0.0))).alias("_total"), "_size", F.greatest("_most", "_most2").alias("_most"),
+        F.concat("_top", F.coalesce("_top2", F.array().cast("array<double>"))).alias("_top"),
+    )
 
+    def finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            x = [_row(*v) for v in zip(*(rows.pop(c).tolist() for c in ("_total", "_size", "_most", "_top")), strict=True)]
+            yield rows.assign(x=x)
 
-def features(texts: list[str], tables, cache: dict[str, float]) -> np.ndarray:
-    """Per text: 1, the ratio per character, and those of its most telling words."""
-    split = [WORD.findall(t.lower()) if t else [] for t in texts]
-    if len(cache) > FLUSH:
-        cache.clear()
-    fresh = list({w for ws in split for w in ws if w not in cache})
-    for at in range(0, len(fresh), 20_000):
-        part = fresh[at : at + 20_000]
-        cache.update(zip(part, word_ratios(part, tables).tolist(), strict=True))
-    x = np.zeros((len(texts), N_FEATURES))
-    x[:, 0] = 1
-    for i, ws in enumerate(split):
-        if ws:
-            r = np.array([cache[w] for w in ws])
-            size = np.array([len(w) + 1 for w in ws])
-            # Repeats of one word speak for themselves once in the maxima.
-            top = np.sort(np.array(sorted({cache[w] for w in set(ws)}, reverse=True)[:3] + [0.0, 0.0]))[::-1]
-            x[i, 1:] = 10 * r.sum() / size.sum(), (r / size).max(), top[0], top[:3].mean()
-    return x
+    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keep).schema)
+    return both.mapInPandas(finish, f"{kept}, x array<double>")
 
 
 def train(docs: DataFrame, labels: DataFrame, id_column: str, text: str, label: str):
@@ -213,27 +267,11 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str, text: str, label:
     rows = docs.filter(F.col(text).isNotNull()).select(id_column, F.col(text).alias("_t"))
     counted = rows.filter(~apart).join(marked.filter(~apart), id_column)
     grams = materialize(count_grams(counted, "_t", "_y"), "grams")
-    slot_rows = (
-        ratios(grams)
-        .withColumn("slot", F.pmod(F.xxhash64("g"), F.lit(SLOTS)))
-        .groupBy(F.length("g").alias("k"), "slot")
-        .agg(F.max(F.struct("n", "g", "r")).alias("m"))
-        .select("m.*")
-        .toPandas()
-    )
-    tables = _table(slot_rows, ORDER - 1), _table(slot_rows, ORDER)
-    shared = docs.sparkSession.sparkContext.broadcast(tables)
-
-    def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache: dict[str, float] = {}
-        for part in batches:
-            x = features(part["_t"].tolist(), shared.value, cache)
-            yield pd.DataFrame({"y": part["_y"], "x": list(x)})
-
-    sample = rows.filter(apart).join(marked.filter(apart), id_column).mapInPandas(measure, "y int, x array<double>").toPandas()
+    table = materialize(ratios(grams), "ratios")
+    sample = features(rows.filter(apart).join(marked.filter(apart), id_column), table, ["_y"], "_t").toPandas()
     weights = np.array([np.log(share / (1 - share))] + [0.0] * (N_FEATURES - 1))
-    if sample["y"].nunique() == 2:
-        x, y = np.array(sample["x"].tolist()), sample["y"].to_numpy(float)
+    if sample["_y"].nunique() == 2:
+        x, y = np.array(sample["x"].tolist()), sample["_y"].to_numpy(float)
         order = np.lexsort(x.T)
         x, y = x[order], y[order]
         ridge = np.diag([1e-3] + [0.3] * (N_FEATURES - 1))
@@ -241,22 +279,18 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str, text: str, label:
             p = 1 / (1 + np.exp(-np.clip(x @ weights, -30, 30)))
             h = x.T @ (x * (p * (1 - p))[:, None]) + ridge
             weights = weights + np.linalg.solve(h + 1e-6 * np.eye(N_FEATURES), x.T @ (y - p) - ridge @ weights)
-    return tables, weights
+    return table, weights
 
 
 def score(df: DataFrame, model, id_column: str, text: str, keep: list[str], threshold: float = 0.7) -> DataFrame:
     """``id`` (with ``keep``), ``score`` and ``predicted`` for every row."""
-    shared = df.sparkSession.sparkContext.broadcast(model)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tables, weights = shared.value
-        cache: dict[str, float] = {}
-        for rows in batches:
-            texts = rows.pop("_t").tolist()
-            x = features(texts, tables, cache) if tables else np.eye(1, N_FEATURES).repeat(len(texts), 0)
-            p = 1 / (1 + np.exp(-np.clip(x @ weights, -30, 30)))
-            yield rows.assign(score=p, predicted=(p >= threshold).astype("int32"))
-
-    source = df.select(id_column, *keep, F.col(text).alias("_t"))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema if f.name != "_t")
-    return source.mapInPandas(run, f"{fields}, score double, predicted int")
+    table, weights = model
+    kept = [id_column, *keep]
+    if table is None:
+        described = df.select(*kept, F.array(*[F.lit(float(i == 0)) for i in range(N_FEATURES)]).alias("x"))
+    else:
+        described = features(df, table, kept, text)
+    terms = [F.element_at("x", i + 1) * float(w) for i, w in enumerate(weights)]
+    logit = F.greatest(F.lit(-30.0), F.least(F.lit(30.0), reduce(lambda a, b: a + b, terms)))
+    scored = described.select(*kept, (1 / (1 + F.exp(-logit))).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
