@@ -232,3 +232,21 @@ def test_toxicity_rates_words_by_every_ngram(spark, monkeypatch):
         monkeypatch.setattr(toxicity, "FREQUENT", frequent)
         got = [r["x"] for r in toxicity.features(more, table, ["doc_id"], "text").collect()]
         assert np.allclose(np.array(sorted(got)), np.array(sorted(want)), atol=1e-6)
+
+
+def test_mixing_reaches_targets_of_tiny_sources(spark):
+    session_settings(spark)
+    rng = random.Random(11)
+    sizes = {f"s{i:03}": [rng.randint(1, 12) for _ in range(rng.randint(1, 4))] for i in range(80)}
+    sizes["hot"] = [rng.randint(0, 90) for _ in range(300)]
+    rows = [(s, " ".join("w" * n)) for s in sizes for n in sizes[s]]
+    docs = spark.createDataFrame([(i if i % 7 else None, t, s) for i, (s, t) in enumerate(rows)], "doc_id long, text string, source string")
+    mixed, scheduled = mixing.mix(docs.withColumn("key", docs["source"]), row="key")
+    got = mixed.toPandas()
+    assert (got["taken"] <= 3 * got["size"]).all() and sorted(got["size"]) == sorted(n for x in sizes.values() for n in x)
+    for s, part in got.groupby("key"):
+        assert abs(part["taken"].sum() - part["target"].iloc[0]) <= 1, s
+    pieces = scheduled.toPandas()
+    assert pieces["words"].sum() == got["taken"].sum() and (pieces["words"] > 0).all()
+    assert sorted(set(pieces["slot"])) == list(range(pieces["slot"].max() + 1))
+    assert pieces.groupby("slot")["words"].sum().max() <= mixing.BLOCK_WORDS

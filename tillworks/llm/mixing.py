@@ -1,16 +1,19 @@
 """Mixing sources to target weights by a low-discrepancy schedule.
 
 The documents of a source, shuffled by a hash of their ids, form a stream of
-words cut into blocks of ``BLOCK_WORDS``.  The schedule is a row of slots: slot
-``i`` goes to the source in whose share of the cumulative weights the ``i``-th
-van der Corput point (base 2) falls, and a source's slots take its blocks in
-turn, beginning anew after the last.  How many slots of a source come before
-slot ``i`` follows from the binary digits of ``i``, so slots are ranked without
-a window or a shuffle, and any prefix of the schedule is mixed as the whole.
+words cut into ``ceil(size / BLOCK_WORDS)`` blocks of nearly equal size.  A source
+gets as many slots as its target needs blocks, in turn and beginning anew after
+the last; its last slot is cut where the target, in whole words, is reached.  The
+order of the slots are the van der Corput points (base 2) below their number: the
+point of a slot falls into the share of the slots that is its source's.  How many
+slots of a source come before one follows from the binary digits of the point's
+index, so slots are ranked without a window or a shuffle, and any prefix of the
+schedule is mixed as the whole.
 
 Cases: a null text has size 0, a null source is a source of its own (last);
 documents without words are taken 0 times; repeated rows are separate
-documents; ties in the shuffle go by id and size; an empty table gives an empty
+documents; ties in the shuffle go by id and size, and documents without an id are
+shuffled by their texts; a source with a target gets one word at least; an empty table gives an empty
 result.  Only sources, at most ``MAX_SOURCES``, reach the driver.
 """
 
@@ -80,39 +83,58 @@ def ranks(i: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
     return out
 
 
+def plan(targets: list[float], sizes: list[int]) -> tuple[np.ndarray, ...]:
+    """Per source: blocks, words of a short block, blocks with one word more, slots, and words in all slots."""
+    size = np.array(sizes, np.int64)
+    blocks = np.maximum(1, -(-size // BLOCK_WORDS))
+    base, extra = size // blocks, size % blocks
+    words = np.minimum(MOST_TIMES * size, np.round(np.array(targets)).astype(np.int64))
+    words = np.where((np.array(targets) > 0) & (size > 0), np.maximum(1, words), 0)
+    rounds, rest = np.divmod(words, np.maximum(1, size))
+    # The longer blocks come first.
+    long = extra * (base + 1)
+    part = np.where(rest <= long, -(-rest // (base + 1)), extra - (long - rest) // np.maximum(1, base))
+    return blocks, base, extra, rounds * blocks + part, words
+
+
 def schedule(spark, targets: list[float], sizes: list[int]) -> DataFrame:
-    """``slot, source_rank, epoch, block`` of the whole mix."""
-    total = sum(targets)
-    n_slots = int(np.ceil(total / BLOCK_WORDS))
-    edges = np.round(np.cumsum([0.0, *targets]) / max(total, 1e-300) * (1 << BITS)).astype(np.int64)
-    edges[-1] = 1 << BITS
-    blocks = np.maximum(1, -(-np.array(sizes, np.int64) // BLOCK_WORDS))
-    shared = spark.sparkContext.broadcast((edges, blocks))
+    """``slot, source_rank, epoch, block, most`` of the whole mix; ``most`` is how many words of the block are taken."""
+    blocks, base, extra, slots, words = plan(targets, sizes)
+    n_slots = int(slots.sum())
+    bits = max(0, n_slots - 1).bit_length()
+    edges = np.cumsum(np.r_[0, slots]) << (BITS - bits)
+    shared = spark.sparkContext.broadcast((edges, blocks, base, extra, slots, words, np.array(sizes, np.int64)))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        edges, blocks = shared.value
+        edges, blocks, base, extra, slots, words, size = shared.value
         for rows in batches:
             i = rows["id"].to_numpy(np.int64)
+            i = i[reversed_bits(i) < edges[-1]]
             source = np.searchsorted(edges, reversed_bits(i), "right") - 1
             k = ranks(i, edges[source], edges[source + 1])
-            yield pd.DataFrame({"slot": i, "source_rank": source, "epoch": k // blocks[source], "block": k % blocks[source]})
-
-    parts = max(1, -(-n_slots // SLOTS_PER_TASK))
-    # Slots beyond the allowed number of rounds would only come from rounding.
-    return (
-        spark.range(0, n_slots, 1, parts)
-        .mapInPandas(run, "slot long, source_rank long, epoch long, block long")
-        .filter(F.col("epoch") < MOST_TIMES)
-    )
+            epoch, block = k // blocks[source], k % blocks[source]
+            start = block * base[source] + np.minimum(block, extra[source])
+            whole = base[source] + (block < extra[source])
+            most = np.where(k == slots[source] - 1, words[source] - epoch * size[source] - start, whole)
+            slot = ranks(i, np.zeros_like(i), np.full_like(i, edges[-1]))
+            yield pd.DataFrame({"slot": slot, "source_rank": source, "epoch": epoch, "block": block, "most": most})
 
+    n_points = (1 << bits) if n_slots else 0
+    parts = max(1, -(-n_points // SLOTS_PER_TASK))
+    return spark.range(0, n_points, 1, parts).mapInPandas(run, "slot long, source_rank long, epoch long, block long, most long")
 
-def mix(df: DataFrame, id_column: str = "doc_id", text: str = "text", source: str = "source", seed: int = 7) -> tuple[DataFrame, DataFrame]:
+
+def mix(df: DataFrame, id_column: str = "doc_id", text: str = "text", source: str = "source", seed: int = 7, row: str | None = None) -> tuple[DataFrame, DataFrame]:
     """The documents with ``size, source_size, target, taken``, and the schedule with the
-    pieces of documents in each slot (``slot, epoch, id, first, words``)."""
+    pieces of documents in each slot (``slot, epoch, id, first, words``).  ``row`` names a
+key of single rows to keep with the documents."""
     spark = df.sparkSession
+    extra = [F.col(row).alias("_row")] if row else []
     sized = materialize(
         df.select(
-            F.col(id_column).alias("_id"),
+            F.col(id_column).alias("_id"), *extra,
+            # Without an id the text says where a document stands in the shuffle.
+            F.when(F.col(id_column).isNull(), F.xxhash64(text)).alias("_text"),
             F.col(source).alias("_source"),
             F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long").alias("_size"),
         ),
@@ -126,32 +148,43 @@ def mix(df: DataFrame, id_column: str = "doc_id", text: str = "text", source: st
     targets = word_targets(sizes) if sum(sizes) else [0.0] * len(sizes)
     starts = [0, *np.cumsum(sizes).tolist()]
     kind = sized.schema["_source"].dataType.simpleString()
+    _, base, longer, _, _ = plan(targets, sizes)
     known = spark.createDataFrame(
-        [(s, i, n, starts[i], t) for i, ((s, n), t) in enumerate(zip(found, targets, strict=True))],
-        f"_s {kind}, source_rank long, source_size long, _start long, target double",
+        [(s, i, n, starts[i], t, int(base[i]), int(longer[i])) for i, ((s, n), t) in enumerate(zip(found, targets, strict=True))],
+        f"_s {kind}, source_rank long, source_size long, _start long, target double, _base long, _longer long",
     )
     # One row per source: bounded by MAX_SOURCES, checked above.
     ranked = sized.join(F.broadcast(known), sized["_source"].eqNullSafe(known["_s"])).drop("_s", "_source")
-    ranked = ranked.withColumn("_shuffled", F.xxhash64(F.lit(seed), "_id"))
+    ranked = ranked.withColumn("_shuffled", F.xxhash64(F.lit(seed), "_id", "_text")).drop("_text")
     placed = running_total(ranked, ["source_rank", "_shuffled", "_id", "_size"], "_size", "_before")
     placed = placed.withColumn("_at", F.col("_before") - F.col("_start"))
+    def block_of(word: str):
+        """The block a word lies in; the longer blocks come first."""
+        long = "_longer * (_base + 1)"
+        return F.expr(f"IF({word} >= {long}, _longer + ({word} - {long}) div _base, {word} div (_base + 1))")
+
+    begins = F.col("block") * F.col("_base") + F.least("block", "_longer")
+    ends = begins + F.col("_base") + (F.col("block") < F.col("_longer")).cast("long")
     pieces = (
         placed.filter(F.col("_size") > 0)
+        .withColumn("block", F.explode(F.sequence(block_of("_at"), block_of("(_at + _size - 1)"))))
         .select(
-            "_id", "source_rank", "_at", "_size",
-            F.explode(F.sequence(F.floor(F.col("_at") / BLOCK_WORDS), F.floor((F.col("_at") + F.col("_size") - 1) / BLOCK_WORDS))).alias("block"),
+            "_id", "source_rank", "_at", "block", F.greatest(F.lit(0), begins - F.col("_at")).alias("first"),
+            F.least(F.col("_at") + F.col("_size"), ends).alias("_end"), F.greatest(begins, F.col("_at")).alias("_from"), begins.alias("_begins"),
         )
-        .withColumn("first", F.greatest(F.lit(0), F.col("block") * BLOCK_WORDS - F.col("_at")))
-        .withColumn("words", F.least(F.col("_size"), (F.col("block") + 1) * BLOCK_WORDS - F.col("_at")) - F.col("first"))
     )
     slots = schedule(spark, targets, sizes)
-    scheduled = slots.join(pieces, ["source_rank", "block"])
+    scheduled = (
+        slots.join(pieces, ["source_rank", "block"])
+        .withColumn("words", F.least(F.col("_end"), F.col("_begins") + F.col("most")) - F.col("_from"))
+        .filter("words > 0")
+    )
     # A document with words is known by its source and place in it.
     taken = scheduled.groupBy(F.col("source_rank").alias("_r"), F.col("_at").alias("_a")).agg(F.sum("words").alias("_taken"))
     mixed = placed.join(
         taken, (placed["source_rank"] == taken["_r"]) & (placed["_at"] == taken["_a"]) & (placed["_size"] > 0), "left"
     ).select(
-        F.col("_id").alias(id_column), F.col("_size").alias("size"), "source_size", "target",
+        F.col("_id").alias(id_column), *([F.col("_row").alias(row)] if row else []), F.col("_size").alias("size"), "source_size", "target",
         F.coalesce("_taken", F.lit(0)).cast("long").alias("taken"),
     )
     return mixed, scheduled.select("slot", "epoch", F.col("_id").alias(id_column), "first", "words")
