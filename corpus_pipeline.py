@@ -23,12 +23,22 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return quality.judge_quality(docs, docs.columns).filter("_q_kept").select(docs.columns)
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``_row``, a key of single rows: ids can be null or shared.  Written, so that it stays the same."""
+    return materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group; rows that share an id count as one."""
+    """One row of each group of near duplicates, that of the smallest id; rows without an id come last."""
     settings(spark)
-    found = ngram_join.near_duplicates(docs)
-    kept = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    return docs.join(kept.withColumnRenamed("doc_id", "_kept"), F.col("doc_id").eqNullSafe(F.col("_kept"))).drop("_kept").dropDuplicates(["doc_id"])
+    rows = numbered(docs)
+    found = ngram_join.near_duplicates(rows, id_column="_row").select("_row", "component_id")
+    place = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64("text"), "_row")
+    kept = (
+        rows.select("_row", place.alias("_place")).join(found, "_row")
+        .groupBy("component_id").agg(F.min("_place").alias("_first")).select(F.col("_first._row").alias("_row"))
+    )
+    return rows.join(kept, "_row", "left_semi").select(docs.columns)
 
 
 def mask_private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,7 +49,8 @@ def mask_private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     settings(spark)
-    mixed = mixing.take_texts(docs, mixing.mix(docs)[0], "doc_id", "text")
+    rows = numbered(docs)
+    mixed = mixing.take_texts(rows, mixing.mix(rows, row="_row")[0], "_row", "text")
     return mixed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 

@@ -190,13 +190,12 @@ key of single rows to keep with the documents."""
     return mixed, scheduled.select("slot", "epoch", F.col("_id").alias(id_column), "first", "words")
 
 
-def take_texts(df: DataFrame, mixed: DataFrame, id_column: str, text: str) -> DataFrame:
-    """``df`` as mixed: each document as often as its words are taken, the last time only
-    up to the last word taken.  Rows that share an id get the same share."""
-    share = mixed.groupBy(id_column).agg(F.max("taken").alias("_taken"), F.max("size").alias("_size"))
-    wanted = share.filter(F.col("_taken") > 0).withColumnRenamed(id_column, "_id")
-    joined = df.join(wanted, df[id_column].eqNullSafe(wanted["_id"])).drop("_id")
-    schema = df.schema
+def take_texts(df: DataFrame, mixed: DataFrame, row: str, text: str) -> DataFrame:
+    """``df`` as mixed, without ``row``, the key of single rows: each document as often as its
+    words are taken, the last time only up to the last word taken."""
+    wanted = mixed.filter(F.col("taken") > 0).select(row, F.col("taken").alias("_taken"), F.col("size").alias("_size"))
+    joined = df.join(wanted, row).drop(row)
+    schema = df.drop(row).schema
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import re
@@ -207,8 +206,11 @@ def take_texts(df: DataFrame, mixed: DataFrame, id_column: str, text: str) -> Da
             rest = (rows["_taken"] % rows["_size"]).astype(int)
             plain = rows.drop(columns=["_taken", "_size"])
             for times in range(1, MOST_TIMES + 1):
-                yield plain[full >= times]
+                if (full >= times).any():
+                    yield plain[full >= times]
             part = plain[rest > 0].copy()
+            if not len(part):
+                continue
             ends = []
             for t, n in zip(part[text], rest[rest > 0], strict=True):
                 for i, m in enumerate(word.finditer(t), start=1):
