@@ -250,3 +250,17 @@ def test_mixing_reaches_targets_of_tiny_sources(spark):
     assert pieces["words"].sum() == got["taken"].sum() and (pieces["words"] > 0).all()
     assert sorted(set(pieces["slot"])) == list(range(pieces["slot"].max() + 1))
     assert pieces.groupby("slot")["words"].sum().max() <= mixing.BLOCK_WORDS
+
+
+def test_html_keeps_short_parts_and_marked_pages():
+    body = "<p>" + "a long paragraph of the article " * 5 + "</p>"
+    long = ("a long paragraph of the article " * 5).strip()
+    tags = "</div></div></section></div><div><section><div><div>"
+    assert html_text.main_text(f"<h1>Title</h1>{tags}{body}{tags}<p>End.</p>") == f"Title\n{long}\nEnd."
+    adverts = '<div class="ad">buy</div>' * 9
+    assert html_text.main_text(f"<article><h1>Title</h1>{adverts}{body}{adverts}<p>End.</p></article>") == f"Title\n{long}\nEnd."
+    assert html_text.main_text(f'<div class="post-content"><p>By A</p>{adverts}{body}</div>{adverts}<p>x</p>') == f"By A\n{long}"
+    for tag in ('body class="no-sidebar"', 'article class="post has-comments"', 'main id="nav"', 'html class="menu"', 'div class="with-sidebar"', 'div class="share-text"'):
+        assert html_text.main_text(f"<{tag}>{body}</{tag.split()[0]}>") == long, tag
+    for tag in ('div class="site-nav"', 'div id="comments"', 'div class="x sidebar"', "aside", 'li class="comment-12"'):
+        assert html_text.main_text(f"{body}<{tag}>gone</{tag.split()[0]}><p>kept</p>") == f"{long}\nkept", tag

@@ -1,11 +1,14 @@
 """Main text of web pages by line-block distribution.
 
 Markup is stripped to lines: one per run of text between block-level tags, and
-an empty one for every further block tag.  Lines of menus, headers, footers,
-sidebars, notices, adverts, forms and reader comments count as empty.  The
-length of text in each window of ``WINDOW`` lines rises at a surge point and
-falls back to nothing at a dive point; the text between them is kept where the
-peak is high enough.
+an empty one for a gap of further tags, or as many as the gap has hidden elements.
+Menus, headers, footers, sidebars, notices, adverts, forms and reader comments are
+hidden.  The length of text in each window of ``WINDOW`` lines rises at a surge
+point and falls back to nothing at a dive point; the text between them is kept
+where the peak is high enough, or where it lies in the same article, main or
+content element as the highest peak.  Elements hold a mark by a whole class name
+or its last part, unless it says that there is none; ``html``, ``body``, ``main``
+and ``article`` are never hidden.
 
 Cases: null or empty html gives an empty text; cut-off tags, comments, elements
 and character references end with the page; nulls, repeated rows and pages of
@@ -44,26 +47,55 @@ MARKS = frozenset(
 )
 
 
+# Never hidden, whatever their class names say of the page.
+WHOLE = frozenset("html body main article".split())
+WITHOUT = frozenset("no not non has have with without".split())
+CONTENT = frozenset("article content entry main post story".split())
+
+
+def _names(attributes: str) -> Iterator[list[str]]:
+    """The parts of each class name, id and role."""
+    for found in NAMED.finditer(attributes):
+        for name in (found[1] or found[2] or found[3] or "").lower().split():
+            yield [part for part in re.split(r"[^a-z0-9]+", name) if part and not part.isdigit()]
+
+
 def _outside(name: str, attributes: str) -> bool:
+    if name in WHOLE:
+        return False
     if name in OUTSIDE:
         return True
-    for found in NAMED.finditer(attributes):
-        value = (found[1] or found[2] or found[3] or "").lower()
-        if any(part in MARKS for part in re.split(r"[^a-z0-9]+", value)):
-            return True
-    return False
+    return any(parts and parts[-1] in MARKS and not WITHOUT.intersection(parts[:-1]) for parts in _names(attributes))
+
+
+def _content(name: str, attributes: str) -> bool:
+    """Whether an element holds an article: by its name, or the last part of a class name."""
+    if name in ("article", "main"):
+        return True
+    return name in ("div", "section", "td") and any(parts and parts[-1] in CONTENT for parts in _names(attributes))
 
 
-def lines_of(page: str) -> list[str]:
-    """Text lines in page order; what lies outside the article is an empty line."""
-    lines: list[str] = []
+def lines_of(page: str) -> list[tuple[str, int]]:
+    """Text lines in page order, each with the number of its outermost article, main or
+    content element (0: none); a hidden element between two texts is an empty line."""
+    lines: list[tuple[str, int]] = []
     run: list[str] = []
     hidden: list[str] = []  # open elements from the outermost hidden one on
+    inside: list[str] = []  # open elements from the outermost content element on
+    element = 0
+    gap = blank = 0  # since the last text: hidden elements, and whether there was a line without text
     raw, at = "", 0
 
     def close() -> None:
-        lines.append(SPACE.sub(" ", html.unescape("".join(run))).strip())
+        nonlocal gap, blank
+        line = SPACE.sub(" ", html.unescape("".join(run))).strip()
         run.clear()
+        if line:
+            lines.extend([("", 0)] * max(gap, blank) if lines else [])
+            lines.append((line, element if inside else 0))
+            gap = blank = 0
+        else:
+            blank = 1
 
     for tag in TOKEN.finditer(page):
         if tag.start() < at:
@@ -88,20 +120,32 @@ def lines_of(page: str) -> list[str]:
             if ends and name in hidden:
                 while hidden.pop() != name:
                     pass
-                if not hidden:
-                    close()
-            elif ends and name in ("body", "html", "article", "main"):
+            elif ends and name in WHOLE:
                 hidden.clear()
                 close()
+                if name in inside:
+                    while inside.pop() != name:
+                        pass
             elif not ends and name not in VOID and not tag[3].endswith("/"):
                 hidden.append(name)
             continue
         if not ends and name not in VOID and _outside(name, tag[3]):
             close()
+            gap += 1
             if not tag[3].endswith("/"):
                 hidden.append(name)
         elif name in BLOCK:
             close()
+            if ends:
+                if name in inside:
+                    while inside.pop() != name:
+                        pass
+            elif name not in VOID and not tag[3].endswith("/"):
+                if inside:
+                    inside.append(name)
+                elif _content(name, tag[3]):
+                    inside.append(name)
+                    element += 1
         elif name == "br":
             run.append(" ")
     if not hidden and not raw:
@@ -111,34 +155,39 @@ def lines_of(page: str) -> list[str]:
 
 
 def main_text(page: str | None) -> str:
-    """The lines between surge and dive points, joined by newlines."""
+    """The lines between surge and dive points, and the others of the same element, joined by newlines."""
     if not page:
         return ""
     lines = lines_of(page)
-    size = [len(x) for x in lines]
+    size = [len(x) for x, _ in lines]
     # Regions are runs of lines with less than WINDOW empty ones in a row.
-    regions: list[tuple[int, int, int]] = []
+    regions: list[tuple[int, int]] = []
     start, last = -1, -1
     for i, n in enumerate(size):
         if n:
             if start < 0:
                 start = i
             elif i - last > WINDOW:
-                regions.append((start, last, 0))
+                regions.append((start, last))
                 start = i
             last = i
     if start < 0:
         return ""
-    regions.append((start, last, 0))
+    regions.append((start, last))
     peaks = []
-    for a, b, _ in regions:
+    for a, b in regions:
         total = best = sum(size[a : a + WINDOW])
         for i in range(a + WINDOW, b + 1):
             total += size[i] - size[i - WINDOW]
             best = max(best, total)
         peaks.append(best)
-    enough = min(SURGE, max(peaks))
-    kept = [x for (a, b, _), p in zip(regions, peaks, strict=True) if p >= enough for x in lines[a : b + 1] if x]
+    top = max(peaks)
+    enough = min(SURGE, top)
+    a, b = regions[peaks.index(top)]
+    article = {e for _, e in lines[a : b + 1]} - {0}
+    kept = [
+        x for (a, b), p in zip(regions, peaks, strict=True) for x, e in lines[a : b + 1] if x and (p >= enough or e in article)
+    ]
     return "\n".join(kept)
 
 
