@@ -264,3 +264,26 @@ def test_html_keeps_short_parts_and_marked_pages():
         assert html_text.main_text(f"<{tag}>{body}</{tag.split()[0]}>") == long, tag
     for tag in ('div class="site-nav"', 'div id="comments"', 'div class="x sidebar"', "aside", 'li class="comment-12"'):
         assert html_text.main_text(f"{body}<{tag}>gone</{tag.split()[0]}><p>kept</p>") == f"{long}\nkept", tag
+
+
+def test_pii_links_all_like_mentions():
+    model = (np.array([-2.0, 0, 0, 0, 0, 0, 0]), 0.0, 4.0)
+    far = " " + "word " * 20
+    added = lambda *parts: {t[a:b] for t in [far.join(parts)] for _, a, b in set(pii.all_spans(t, model)[1]) - set(pii.all_spans(t, model)[0])}
+    a = "4111 1111 1111 1111"
+    b = next(x for x in (f"4111 1111 9999 999{d}" for d in range(10)) if pii.luhn(x.replace(" ", "")))
+    assert added(a, b, "4111 1111 1111 1112") == {"4111 1111 1111 1112"}
+    assert added("+1 (212) 555-0123", "+1 555-0123", "+1 555-0199") == {"+1 555-0123"}
+    assert added("+1 (212) 555-0123", "call 555-0123 or 212 555 0123") == {"555-0123", "212 555 0123"}
+    assert added("john.smith@example.com", "john.smith#example.com", "other#example.com") == {"john.smith#example.com"}
+    # By brute force: every doubtful mention has an edge to each like string.
+    rng = random.Random(23)
+    text = " , ".join("4111 1111 " + " ".join("".join(rng.choice("12") for _ in range(4)) for _ in range(2)) for _ in range(150))
+    found = pii.mentions(text)
+    plain = [pii._plain(text, m) for m in found]
+    skip = set(pii.edges(text, found)[1])
+    linked = {(i, plain[j]) for e in skip for i, j in (e, e[::-1])}
+    for i, m in enumerate(found):
+        for q in set(plain):
+            if not m[3] and q != plain[i] and pii._alike(plain[i], q):
+                assert (i, q) in linked

@@ -5,21 +5,25 @@ What matches a pattern but fails its check is a mention in doubt.  Mentions of a
 document form a field of binary variables (personal data or not): base spans
 are fixed, the evidence of doubtful ones comes from a logistic model, successive
 mentions share a chain potential, and mentions that repeat or resemble each
-other, however far apart, share a skip potential.  Loopy message passing
+other, however far apart, share a skip potential: all pairs of like strings are
+found by keys they must share.  Digit runs and tokens that match no pattern but
+resemble a base span of the document are doubtful mentions too.  Loopy message passing
 spreads the labels over the document; doubtful mentions that end above
 ``THRESHOLD`` are added.  Model and potentials are fitted on a bounded sample of
 documents, whose base spans are the labels.
 
 Cases: a null text is an empty one without spans; offsets are code points;
-patterns take linear time on any text; repeated rows are handled alike; skip
-edges follow a chain through each set of like mentions, so they stay linear.
+patterns take linear time on any text; repeated rows are handled alike; a mention
+is linked to one mention of each like string, one that passes if there is any.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -41,6 +45,10 @@ IP = re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGIT = re.compile(r"[0-9]")
+RUN = re.compile(r"[0-9](?:[\x20().-]{0,2}[0-9])+")
+TOKEN = re.compile(r"[^\s,;:!?\"'<>\[\]{}]+")
+# Phones are alike by so many last digits: a country or area code may be missing.
+SUFFIX = 7
 
 Mention = tuple[str, int, int, bool]
 
@@ -108,26 +116,86 @@ def _alike(a: str, b: str) -> bool:
     return a == b or (len(a) == len(b) and 8 * sum(x != y for x, y in zip(a, b, strict=True)) <= len(a))
 
 
+def _keys(kind: str, p: str) -> Iterator[tuple]:
+    """Keys of a string; two alike strings of a kind share one at least.
+
+    Of one block more than characters may differ, one block is the same.
+    """
+    blocks = len(p) // 8 + 1
+    for k in range(blocks):
+        yield kind, len(p), k, p[len(p) * k // blocks : len(p) * (k + 1) // blocks]
+    if kind == "phone" and len(p) >= SUFFIX:
+        yield kind, p[-SUFFIX:]
+
+
+def _like(kind: str, a: str, b: str) -> bool:
+    return _alike(a, b) or (kind == "phone" and min(len(a), len(b)) >= SUFFIX and a[-SUFFIX:] == b[-SUFFIX:])
+
+
 def edges(text: str, found: list[Mention]) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
     """Chain edges between neighbours and skip edges between like mentions."""
     order = sorted(range(len(found)), key=lambda i: (found[i][1], found[i][2], found[i][0]))
     chain = [(a, b) for a, b in zip(order, order[1:], strict=False) if found[b][1] - found[a][2] <= CHAIN_GAP]
-    skip: set[tuple[int, int]] = set()
-    plain = {i: _plain(text, found[i]) for i in order}
-    # Mentions that share a kind with a half of their characters are compared
-    # with the last such mention, and with the last one that passed.
-    last: dict[tuple[str, str], tuple[int, int | None]] = {}
+    same: dict[tuple[str, str], list[int]] = {}
     for i in order:
-        p = plain[i]
-        half = (len(p) + 1) // 2
-        for key in ((found[i][0], "a" + p[:half]), (found[i][0], "z" + p[half:]), (found[i][0], "=" + p)):
-            for j in last.get(key, ()):
-                if j is not None and j != i and _alike(plain[j], p):
-                    skip.add((j, i))
-            last[key] = (i, i if found[i][3] else last.get(key, (0, None))[1])
+        same.setdefault((found[i][0], _plain(text, found[i]).replace("@", "")), []).append(i)
+    # Of equal strings one stands for all, one that passes if there is any.
+    first = {s: next((i for i in at if found[i][3]), at[0]) for s, at in same.items()}
+    doubtful = {s: [i for i in at if not found[i][3]] for s, at in same.items()}
+    skip = {(min(i, first[s]), max(i, first[s])) for s, at in same.items() for i in at if i != first[s]}
+    index: dict[tuple, list[str]] = {}
+    for kind, p in same:
+        near = {q for key in set(_keys(kind, p)) for q in index.get(key, ())}
+        for q in near:
+            if _like(kind, p, q):
+                s, t = (kind, p), (kind, q)
+                pairs = [(first[s], first[t]), *((i, first[t]) for i in doubtful[s]), *((i, first[s]) for i in doubtful[t])]
+                skip.update((min(x), max(x)) for x in pairs)
+        for key in set(_keys(kind, p)):
+            index.setdefault(key, []).append(p)
     return chain, sorted(skip)
 
 
+def resembling(text: str, found: list[Mention]) -> list[Mention]:
+    """Doubtful mentions that match no pattern: digit runs and tokens like a passing mention."""
+    index: dict[tuple, set[str]] = {}
+    lengths = set()
+    for m in found:
+        if m[3]:
+            p = _plain(text, m).replace("@", "")
+            lengths.add((m[0] == "phone", len(p)))
+            for key in _keys(m[0], p):
+                index.setdefault(key, set()).add(p)
+    if not index:
+        return []
+    sizes = {n for _, n in lengths}
+    phones = any(phone for phone, _ in lengths)
+    out: list[Mention] = []
+    taken = sorted((a, b) for _, a, b, _ in found)
+    starts = [a for a, _ in taken]
+    reach = list(accumulate((b for _, b in taken), max))
+    spans: set[tuple[int, int]] = set()
+    for pattern in (RUN, TOKEN):
+        for hit in pattern.finditer(text):
+            a, b = hit.span()
+            while b > a and pattern is TOKEN and text[b - 1] in ".)":
+                b -= 1
+            k = bisect_left(starts, b)
+            if (a, b) in spans or (k and reach[k - 1] > a):
+                continue
+            p = _plain(text, ("", a, b, False))
+            for kind in KINDS:
+                # Only digits make a phone by their end.
+                suffix = kind == "phone" and phones and p.isdigit() and len(p) >= SUFFIX
+                if not suffix and len(p) not in sizes or len(p) < 4:
+                    continue
+                if any(_like(kind, p, q) if suffix else _alike(p, q) for key in _keys(kind, p) for q in index.get(key, ())):
+                    out.append((kind, a, b, False))
+                    spans.add((a, b))
+                    break
+    return out
+
+
 def marginals(theta: np.ndarray, pairs: list[tuple[int, int, float]]) -> np.ndarray:
     """Loopy belief propagation on binary variables with agreement potentials (log-odds form)."""
     if not pairs:
@@ -149,7 +217,8 @@ def all_spans(text: str, model: tuple[np.ndarray, float, float]) -> tuple[list,
     found = mentions(text)
     base = [m[:3] for m in found if m[3]]
     added: list = []
-    if base and len(base) < len(found):
+    found = found + resembling(text, found) if base else found
+    if len(base) < len(found):
         weights, chain_weight, skip_weight = model
         theta = np.array([FIXED if m[3] else float(np.dot(weights, _features(text, m))) for m in found])
         chain, skip = edges(text, found)
