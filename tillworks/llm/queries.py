@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillworks.llm import html_text, language, mixing, ngram_join, packing, pii, quality, syncmers, toxicity, url_rules
+from tillworks.llm import fill_middle, html_text, language, mixing, ngram_join, packing, pii, quality, syncmers, toxicity, url_rules
 from tillworks.llm.common import id_remainder, table
 
 
@@ -72,8 +72,19 @@ def op10_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.fingerprint_edits(table(spark, sf_dir, "documents"))
 
 
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = fill_middle.transform(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", "text")
+    return done.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"), F.sha2(fill_middle.restored(), 256).alias("restored_sha256"),
+    )
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_packing, op2_ngram_join, op3_html_text, op4_language, op5_url_rules, op6_mixing, op7_toxicity, op8_pii, op9_quality, op10_syncmers)
+    for f in (
+        op1_packing, op2_ngram_join, op3_html_text, op4_language, op5_url_rules, op6_mixing, op7_toxicity, op8_pii, op9_quality, op10_syncmers,
+        op11_fill_middle,
+    )
 }
-ORACLES = {"op5_url_rules": url_rules.judge_sql()}
+ORACLES = {"op5_url_rules": url_rules.judge_sql(), "op11_fill_middle": fill_middle.digest_sql()}
