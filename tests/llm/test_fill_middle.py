@@ -49,7 +49,7 @@ def same_rows(got, want):
 
 def test_query_by_brute_force(spark, tmp_path):
     rows = [(i, t, "k", "v") for i, t in cases()]
-    spark.createDataFrame(rows, "doc_id long, text string, _fim_text string, _h1 string").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(rows, "doc_id long, text string, _____0 string, ______0 string").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
     found = queries.op11_fill_middle(spark, str(tmp_path)).select(*DIGEST).collect()
     same_rows(found, [expected(i, t) for i, t in cases()])
     assert {r["form"] for r in found} == {"plain", "spm", "psm"}
@@ -95,9 +95,9 @@ def test_empty_tables_and_clashing_names(spark):
 def test_every_text_comes_back(spark):
     session_settings(spark)
     rows = [(i, t, "x", "y") for i, (_, t) in enumerate(cases())]
-    texts = spark.createDataFrame(rows, "key int, body string, _fim_text string, _h1 string")
+    texts = spark.createDataFrame(rows, "key int, body string, _____0 string, ______0 string")
     done = fill_middle.transform(texts, "key", "body", seed=1, rate=100, spm_share=50)
     wrong = done.filter(fill_middle.restored() != done["body"])
     assert wrong.count() == 0
-    assert {(r["_fim_text"], r["_h1"]) for r in done.collect()} == {("x", "y")}
+    assert {(r["_____0"], r["______0"]) for r in done.collect()} == {("x", "y")}
     assert done.filter("form <> 'plain'").count() > 100

@@ -85,7 +85,7 @@ class SkipList:
 def _draws(id_column: str, seed: int) -> list[Column]:
     """The first four 8-digit groups of the hash, as numbers."""
     digest = F.sha2(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_column).cast("string"), F.lit(""))), 256)
-    return [F.conv(F.substring(digest, 1 + 8 * i, 8), 16, 10).cast("long").alias(f"_h{i + 1}") for i in range(4)]
+    return [F.conv(F.substring(digest, 1 + 8 * i, 8), 16, 10).cast("long") for i in range(4)]
 
 
 def transform(
@@ -123,8 +123,10 @@ def transform(
             added = [pa.array(values, kind) for values, (_, kind) in zip(done, kinds, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(i) for i in range(len(rest))] + added, rest + [k for k, _ in kinds])
 
-    # The inputs are found by place: a table may have columns of their names.
-    source = df.select(*rest, F.coalesce(F.col(text), F.lit("")).alias("_fim_text"), *_draws(id_column, seed))
+    # Names that no column of the table has.
+    prefix = "_" * max([0, *(len(c) for c in rest)])
+    inputs = [F.coalesce(F.col(text), F.lit("")), *_draws(id_column, seed)]
+    source = df.select(*rest, *[c.alias(f"{prefix}_{i}") for i, c in enumerate(inputs)])
     schema = T.StructType([*df.schema.fields, *T.StructType.fromDDL(ADDED).fields])
     return source.mapInArrow(run, schema)
 
