@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillworks.llm import fill_middle, html_text, language, mixing, ngram_join, packing, pii, quality, syncmers, toxicity, url_rules
+from tillworks.llm import fill_middle, html_text, language, mixing, ngram_join, packing, pii, quality, syncmers, toxicity, url_rules, vector_codes
 from tillworks.llm.common import id_remainder, table
 
 
@@ -80,11 +82,23 @@ def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes, books = vector_codes.compress(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", ["label"])
+    digest = hashlib.sha256(vector_codes.books_text(books).encode()).hexdigest()
+    return vector_codes.with_label_error(codes, "label").select(
+        "vec_id", "code", "error", "label_error", F.lit(digest).alias("codebooks_sha256")
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_packing, op2_ngram_join, op3_html_text, op4_language, op5_url_rules, op6_mixing, op7_toxicity, op8_pii, op9_quality, op10_syncmers,
-        op11_fill_middle,
+        op11_fill_middle, op12_vector_codes,
     )
 }
-ORACLES = {"op5_url_rules": url_rules.judge_sql(), "op11_fill_middle": fill_middle.digest_sql()}
+ORACLES = {
+    "op5_url_rules": url_rules.judge_sql(),
+    "op11_fill_middle": fill_middle.digest_sql(),
+    "op12_vector_codes": vector_codes.codes_sql(),
+}
