@@ -1,9 +1,11 @@
 """Row numbers without a window over one huge partition.
 
 ``Window.orderBy`` with no partition moves everything to one task, and a
-partitioned window does the same to a key that holds much of the data.  Here
-rows are range-partitioned by the full sort key and sorted locally; a row's
-number is its place in its partition plus the size of the partitions before it.
+partitioned window does the same to a key that holds much of the data.  Numbers
+over a whole table, and those of heavy keys, come from range partitions: rows
+are range-partitioned by the full sort key and sorted locally; a row's number is
+its place in its partition plus the size of the partitions before it.  All other
+keys are counted first and take a plain window.
 """
 
 from __future__ import annotations
@@ -14,6 +16,10 @@ from pyspark.sql import functions as F
 from tillworks.operators.relational import join_null_safe
 from tillworks.session import materialize
 
+# A key with more rows than one task should sort is numbered over several.  Both
+# ways give the same numbers.
+HEAVY_ROWS = 1_000_000
+
 
 def number_rows(df: DataFrame, order_by: list[str], name: str) -> DataFrame:
     """Number all rows from 1 in the order given (nulls first), ties by the other columns.
@@ -62,9 +68,34 @@ def sequence_rows(
 ) -> DataFrame:
     """Number rows per group from 1 (``sequence``) and flag the last (``is_latest``).
 
-    A group's numbers are the overall numbers less the group's first one, so a
-    group may span any number of partitions.
+    Order is by ``order_by`` (nulls first), ties by the other columns.  Counts per
+    key combine before the shuffle; only keys of more than ``HEAVY_ROWS`` rows are
+    taken out of the window and sorted over several tasks.
     """
+    heavy = df.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > HEAVY_ROWS).drop("_rows")
+    if heavy.isEmpty():
+        return _by_window(df, partition_by, order_by, sequence, is_latest)
+    ordinary = join_null_safe(df, heavy, partition_by, "left_anti")
+    rest = join_null_safe(df, heavy, partition_by, "left_semi")
+    return _by_window(ordinary, partition_by, order_by, sequence, is_latest).unionByName(
+        _by_ranges(rest, partition_by, order_by, sequence, is_latest)
+    )
+
+
+def _by_window(df: DataFrame, partition_by: list[str], order_by: list[str], sequence: str | None, is_latest: str | None) -> DataFrame:
+    others = [c for c in df.columns if c not in order_by and c not in partition_by]
+    rows = Window.partitionBy(*partition_by).orderBy(*[F.col(c).asc_nulls_first() for c in [*order_by, *others]])
+    added = {}
+    if sequence:
+        added[sequence] = F.row_number().over(rows)
+    if is_latest:
+        # The same sort serves both.
+        added[is_latest] = F.lead(F.lit(1)).over(rows).isNull()
+    return df.withColumns(added)
+
+
+def _by_ranges(df: DataFrame, partition_by: list[str], order_by: list[str], sequence: str | None, is_latest: str | None) -> DataFrame:
+    """A group's numbers are the overall numbers less the group's first one, so a group may span any number of partitions."""
     numbered = number_rows(df, partition_by + order_by, "_n")
     spans = numbered.groupBy(*partition_by).agg(F.min("_n").alias("_first"), F.max("_n").alias("_last"))
     joined = join_null_safe(numbered, spans, partition_by)
