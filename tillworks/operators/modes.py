@@ -75,12 +75,19 @@ def canonical_by_mode(
 
 
 def build_bridge(
-    df: DataFrame, number: str, group_by: list[str], original: str, current: str, weight: str | None = None
+    df: DataFrame,
+    number: str,
+    group_by: list[str],
+    original: str,
+    current: str,
+    weight: str | None = None,
+    scope: list[str] | None = None,
 ) -> DataFrame:
     """Old number to current number: the mode of ``number`` per group.
 
     Only changed numbers are kept; rows with a null in ``group_by`` have no group.
+    ``scope`` names columns of the group within which a pair holds, kept between the two.
     """
     modes = mode_of(df, group_by, number, current, weight)
-    pairs = df.join(modes, group_by, "left").select(F.col(number).alias(original), current)
+    pairs = df.join(modes, group_by, "left").select(F.col(number).alias(original), *(scope or []), current)
     return filter_changed(pairs, original, current).distinct()

@@ -10,6 +10,7 @@ from tillworks.functions import text, values
 from tillworks.operators.modes import mode_of
 from tillworks.operators.numbering import fill_null_ids, generate_id
 from tillworks.operators.relational import drop_null_any, sort_output
+from tillworks.plans.tuples import line_count
 
 
 def build_category(feed: DataFrame) -> DataFrame:
@@ -34,7 +35,7 @@ def build_vendor(feed: DataFrame) -> DataFrame:
     """
     raw = feed.groupBy(
         F.col("Vendor Number"), F.col("Vendor Name")
-    ).agg(F.count(F.lit(1)).alias("lines"))
+    ).agg(line_count(feed).alias("lines"))
     cleaned = raw.select(
         values.fix_vendor("Vendor Number", "Vendor Name").try_cast("int").alias("Vendor Number"),
         values.correct_values(

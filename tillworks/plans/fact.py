@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from tillworks import rules
 from tillworks.functions import text, values
 from tillworks.functions.typed import derive_measures, feed_date
-from tillworks.operators.relational import apply_bridge
-from tillworks.plans.items import PRICE_ATTRIBUTES
+from tillworks.operators.intervals import asof_join
+from tillworks.plans.items import PRICE_ATTRIBUTES, rewrite_item
 from tillworks.plans.stores import rewrite_address, rewrite_store
+from tillworks.sources.months import MONTH
 
 FACT_COLUMNS = [
     "Invoice_Item Number",
@@ -25,7 +26,6 @@ FACT_COLUMNS = [
     "Volume Sold Liters",
     "Date",
 ]
-MONTH = ["Year", "Month"]
 
 
 def _months(df: DataFrame) -> list[str]:
@@ -39,8 +39,9 @@ def _lines(
     number_bridge: DataFrame,
     address_bridge: DataFrame,
     how: str,
+    dated: bool = False,
 ) -> DataFrame:
-    """Feed lines with conformed keys, price sequence, measures and address."""
+    """Feed lines with conformed keys, price sequence, measures and address; ``dated`` keeps each line's own date."""
     lines = feed.select(
         F.col("Invoice/Item Number").alias("Invoice_Item Number"),
         "Store Number",
@@ -54,15 +55,16 @@ def _lines(
         "State Bottle Cost",
         "State Bottle Retail",
         F.col("Bottles Sold").alias("Items Sold"),
+        *([feed_date(feed).alias("Date")] if dated else []),
         *_months(feed),
     )
-    lines = apply_bridge(
-        lines, item_bridge, "Item Number", "Original Item Number", "Current Item Number"
-    ).withColumn("Item Number", values.add_prefix("Item Number", rules.ITEM_PREFIX))
+    lines = rewrite_item(lines, item_bridge).withColumn(
+        "Item Number", values.add_prefix("Item Number", rules.ITEM_PREFIX)
+    )
     # Cost and retail are doubles from the same source value on both sides.
     prices = price_history.select(*PRICE_ATTRIBUTES, "Price Sequence")
     lines = derive_measures(lines.join(prices, PRICE_ATTRIBUTES, "left"))
-    lines = rewrite_store(lines, number_bridge).withColumn(
+    lines = rewrite_store(lines, number_bridge, address_bridge).withColumn(
         "Store Number", values.add_prefix("Store Number", rules.STORE_PREFIX)
     )
     return rewrite_address(lines, address_bridge, how)
@@ -112,34 +114,18 @@ def build_fact_asof(
     address_history: DataFrame,
     how: str = "inner",
 ) -> DataFrame:
-    """The fact without fan-out: the history row valid on the day of the line.
+    """The fact with the history row valid on the day of the line: one row per distinct line.
 
-    Where ranges overlap the latest sequence wins.  The choice and the removal
-    of duplicate lines are one aggregation.
+    Items are renumbered within their vendor and stores within their site (the
+    scoped bridges), so no join adds rows; bridges without a scope are taken too
+    and fan out as in ``build_fact``.  Where validity ranges overlap the latest
+    sequence wins; a line without a date or outside all ranges has none.
     """
-    lines = _attach_dates(
-        _lines(feed, item_bridge, price_history, number_bridge, address_bridge, how), feed
-    )
-    valid = address_history.select(
-        F.col("Store Number").alias("_store"),
-        F.col("Address").alias("_address"),
-        "From Date",
-        "To Date",
-        "Address Sequence",
-    )
-    placed = lines.join(
-        valid,
-        (lines["Store Number"] == valid["_store"])
-        & (lines["Address"] == valid["_address"])
-        & lines["Date"].between(valid["From Date"], valid["To Date"]),
-        "left",
-    )
-    # Address stays a key: one invoice number may come with several addresses.
-    columns = [c for c in FACT_COLUMNS if c != "Address Sequence"] + _months(feed)
-    chosen = placed.groupBy(*columns, "Address").agg(
-        F.max("Address Sequence").alias("Address Sequence")
+    lines = _lines(feed, item_bridge, price_history, number_bridge, address_bridge, how, dated=True)
+    placed = asof_join(
+        lines, address_history, ["Store Number", "Address"], "Date", "From Date", "To Date", "Address Sequence"
     )
-    return chosen.select(*FACT_COLUMNS, *_months(feed)).distinct()
+    return placed.select(*FACT_COLUMNS, *_months(feed)).distinct()
 
 
 def line_report(feed: DataFrame, fact: DataFrame) -> DataFrame:

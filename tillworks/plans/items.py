@@ -11,11 +11,12 @@ from pyspark.sql import functions as F
 
 from tillworks import rules
 from tillworks.functions import text, values
-from tillworks.functions.typed import feed_date
+from tillworks.operators.bridges import rewrite_scoped
 from tillworks.operators.history import build_history
 from tillworks.operators.modes import build_bridge, canonical_by_mode, mode_of
 from tillworks.operators.numbering import keep_latest
 from tillworks.operators.relational import apply_bridge, sort_output
+from tillworks.plans.tuples import LINES, first_date, last_date, line_count
 
 PRICE_ATTRIBUTES = [
     "Item Number",
@@ -27,7 +28,7 @@ PRICE_ATTRIBUTES = [
 ]
 
 
-def build_item_number_bridge(feed: DataFrame) -> DataFrame:
+def _renumbered(feed: DataFrame, scope: list[str]) -> DataFrame:
     """Old to current item number: same usual description, same vendor.
 
     Descriptions are weighted by invoice lines, numbers count once per vendor.
@@ -36,7 +37,7 @@ def build_item_number_bridge(feed: DataFrame) -> DataFrame:
         text.clean_item_number("Item Number").alias("Item Number"),
         text.clean_description("Item Description").alias("Item Description"),
         values.fix_vendor("Vendor Number", "Vendor Name").alias("Vendor Number"),
-    ).agg(F.count(F.lit(1)).alias("lines"))
+    ).agg(line_count(feed).alias("lines"))
     usual = mode_of(tuples, ["Item Number"], "Item Description", "Usual Description", "lines")
     numbers = tuples.select("Item Number", "Vendor Number").distinct().join(usual, "Item Number", "left")
     bridge = build_bridge(
@@ -45,11 +46,33 @@ def build_item_number_bridge(feed: DataFrame) -> DataFrame:
         ["Usual Description", "Vendor Number"],
         "Original Item Number",
         "Current Item Number",
+        scope=scope,
     )
     # Different texts may be the same number, such as 007 and 7.
-    ids = bridge.select(*[F.col(c).try_cast("int").alias(c) for c in bridge.columns])
-    ids = ids.filter(F.col("Original Item Number") != F.col("Current Item Number"))
-    return sort_output(ids, "Current Item Number", "Original Item Number")
+    number = lambda c: F.col(c).try_cast("int").alias(c)
+    ids = bridge.select(number("Original Item Number"), *scope, number("Current Item Number"))
+    return ids.filter(F.col("Original Item Number") != F.col("Current Item Number"))
+
+
+def build_item_number_bridge(feed: DataFrame) -> DataFrame:
+    """Old to current item number, whatever the vendor: an old number can have several current ones."""
+    return sort_output(_renumbered(feed, []), "Current Item Number", "Original Item Number")
+
+
+def build_item_vendor_bridge(feed: DataFrame) -> DataFrame:
+    """Old to current item number within a vendor, the scope the pairs were found in."""
+    pairs = _renumbered(feed, ["Vendor Number"]).withColumn(
+        "Vendor Number", values.add_prefix("Vendor Number", rules.VENDOR_PREFIX)
+    )
+    return sort_output(pairs.distinct(), "Current Item Number", "Original Item Number")
+
+
+def rewrite_item(df: DataFrame, item_bridge: DataFrame) -> DataFrame:
+    """Current item numbers; within the (prefixed) vendor where the bridge keeps it."""
+    names = ("Item Number", "Original Item Number", "Current Item Number")
+    if "Vendor Number" in item_bridge.columns:
+        return rewrite_scoped(df, item_bridge, *names, {"Vendor Number": "Vendor Number"})
+    return apply_bridge(df, item_bridge, *names)
 
 
 def build_item_price_history(feed: DataFrame, item_bridge: DataFrame) -> DataFrame:
@@ -64,14 +87,13 @@ def build_item_price_history(feed: DataFrame, item_bridge: DataFrame) -> DataFra
             F.col("Bottle Volume (ml)").alias("Bottle Volume ml"),
             "State Bottle Cost",
             "State Bottle Retail",
-            feed_date(feed).alias("Date"),
+            first_date(feed).alias("_first"),
+            last_date(feed).alias("_last"),
         )
         .groupBy(*PRICE_ATTRIBUTES)
-        .agg(F.min("Date").alias("From Date"), F.max("Date").alias("To Date"))
-    )
-    bridged = apply_bridge(
-        ranges, item_bridge, "Item Number", "Original Item Number", "Current Item Number"
+        .agg(F.min("_first").alias("From Date"), F.max("_last").alias("To Date"))
     )
+    bridged = rewrite_item(ranges, item_bridge)
     merged = bridged.groupBy(*PRICE_ATTRIBUTES).agg(
         F.min("From Date").alias("From Date"), F.max("To Date").alias("To Date")
     )
@@ -95,7 +117,8 @@ def build_item(feed: DataFrame, category: DataFrame, item_bridge: DataFrame) ->
             F.col("Bottle Volume (ml)").alias("Bottle Volume ml"),
             F.col("State Bottle Cost").alias("State Bottle cost"),
             "State Bottle Retail",
-            feed_date(feed).alias("Date"),
+            last_date(feed).alias("Date"),
+            (F.col(LINES) if LINES in feed.columns else F.lit(1)).alias("_lines"),
         )
         .groupBy(
             "Item Number",
@@ -107,11 +130,9 @@ def build_item(feed: DataFrame, category: DataFrame, item_bridge: DataFrame) ->
             "State Bottle cost",
             "State Bottle Retail",
         )
-        .agg(F.count(F.lit(1)).alias("lines"), F.max("Date").alias("Date"))
-    )
-    items = apply_bridge(
-        tuples, item_bridge, "Item Number", "Original Item Number", "Current Item Number"
+        .agg(F.sum("_lines").alias("lines"), F.max("Date").alias("Date"))
     )
+    items = rewrite_item(tuples, item_bridge)
     items = canonical_by_mode(items, ["Item Number"], "Item Description", "lines")
     items = canonical_by_mode(items, ["Item Description"], "Category Name", "lines")
     items = items.withColumn(

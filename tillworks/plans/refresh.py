@@ -8,31 +8,40 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from tillworks.plans import dimensions, items, stores
+from tillworks.plans.tuples import write_tuples
+from tillworks.session import new_folder
 from tillworks.sources.files import write_table
 
 
 @dataclass(frozen=True)
 class Job:
-    """A table, the tables it reads besides the feed, and how it is built."""
+    """A table: the tuples of the feed it starts from, the tables it reads besides, and how it is built."""
 
+    family: str
     needs: tuple[str, ...]
     build: Callable[..., DataFrame]
 
 
 JOBS: dict[str, Job] = {
-    "item_number_bridge": Job((), items.build_item_number_bridge),
-    "category": Job((), dimensions.build_category),
-    "vendor": Job((), dimensions.build_vendor),
-    "store_county": Job((), dimensions.build_store_county),
-    "store_address_bridge": Job((), stores.build_store_address_bridge),
-    "item_price_history": Job(("item_number_bridge",), items.build_item_price_history),
-    "item": Job(("category", "item_number_bridge"), items.build_item),
-    "store_number_bridge": Job(("store_address_bridge",), stores.build_store_number_bridge),
+    "item_number_bridge": Job("items", (), items.build_item_number_bridge),
+    "item_vendor_bridge": Job("items", (), items.build_item_vendor_bridge),
+    "category": Job("items", (), dimensions.build_category),
+    "vendor": Job("items", (), dimensions.build_vendor),
+    "store_county": Job("stores", (), dimensions.build_store_county),
+    "store_address_bridge": Job("stores", (), stores.build_store_address_bridge),
+    "item_price_history": Job("items", ("item_number_bridge",), items.build_item_price_history),
+    "item_vendor_price_history": Job("items", ("item_vendor_bridge",), items.build_item_price_history),
+    "item": Job("items", ("category", "item_number_bridge"), items.build_item),
+    "store_number_bridge": Job("stores", ("store_address_bridge",), stores.build_store_number_bridge),
+    "store_site_bridge": Job("stores", ("store_address_bridge",), stores.build_store_site_bridge),
     "store_address_history": Job(
-        ("store_number_bridge", "store_address_bridge"), stores.build_store_address_history
+        "stores", ("store_number_bridge", "store_address_bridge"), stores.build_store_address_history
+    ),
+    "store_site_history": Job(
+        "stores", ("store_site_bridge", "store_address_bridge"), stores.build_store_address_history
     ),
     "store_address": Job(
-        ("store_number_bridge", "store_address_bridge"), stores.build_store_address
+        "stores", ("store_number_bridge", "store_address_bridge"), stores.build_store_address
     ),
 }
 
@@ -44,6 +53,15 @@ FACT_INPUTS = (
     "store_address_history",
 )
 
+# The same, with bridges and histories that keep their scope.
+ASOF_INPUTS = (
+    "item_vendor_bridge",
+    "item_vendor_price_history",
+    "store_site_bridge",
+    "store_address_bridge",
+    "store_site_history",
+)
+
 
 def order_of(tables: Iterable[str]) -> list[str]:
     """``tables`` and all they need, inputs first."""
@@ -61,14 +79,15 @@ def order_of(tables: Iterable[str]) -> list[str]:
 
 
 def refresh(feed: DataFrame, root: str, tables: Iterable[str] = tuple(JOBS)) -> dict[str, DataFrame]:
-    """Build ``tables`` from the feed, write them under ``root`` and read them back.
+    """Build ``tables`` from one scan of the feed, write them under ``root`` and read them back.
 
     A job that fails raises; nothing after it runs on half-made inputs.
     """
+    tuples = write_tuples(feed, new_folder(feed.sparkSession, "tuples"))
     built: dict[str, DataFrame] = {}
     for table in order_of(tables):
         job = JOBS[table]
-        result = job.build(feed, *[built[n] for n in job.needs])
+        result = job.build(tuples[job.family], *[built[n] for n in job.needs])
         path = f"{root}/{table}"
         write_table(result, path)
         built[table] = feed.sparkSession.read.schema(result.schema).parquet(path)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tillworks import rules
 from tillworks.functions import text, values
 from tillworks.functions.typed import cast_typed, feed_date, split_point
+from tillworks.operators.bridges import rewrite_scoped, single_valued
 from tillworks.operators.history import build_history
 from tillworks.operators.modes import build_bridge, canonical_by_mode, mode_of, modes_of
 from tillworks.operators.numbering import keep_latest
@@ -40,13 +41,26 @@ def rewrite_address(df: DataFrame, address_bridge: DataFrame, how: str = "inner"
     return apply_bridge(raised, address_bridge, "Address", "Original Address", "Current Address", how)
 
 
-def rewrite_store(df: DataFrame, number_bridge: DataFrame) -> DataFrame:
-    return apply_bridge(
-        df, number_bridge, "Store Number", "Original Store Number", "Current Store Number"
-    )
+def _with_site(df: DataFrame, address_bridge: DataFrame) -> DataFrame:
+    """Add the standard address as ``Site``.
 
+    An address missing from the bridge is null here, unlike in a rewrite that
+    keeps the old value: such stores have no site to share.  The bridge is held
+    to one standard form per address, so no row comes twice.
+    """
+    sites = single_valued(address_bridge, ["Original Address"], "Current Address").toDF("_raw", "Site")
+    return df.join(sites, text.upper_text(df["Address"]) == sites["_raw"], "left").drop("_raw")
 
-def build_store_number_bridge(feed: DataFrame, address_bridge: DataFrame) -> DataFrame:
+
+def rewrite_store(df: DataFrame, number_bridge: DataFrame, address_bridge: DataFrame | None = None) -> DataFrame:
+    """Current store numbers; within the site where the bridge keeps it."""
+    names = ("Store Number", "Original Store Number", "Current Store Number")
+    if "Site" in number_bridge.columns:
+        return rewrite_scoped(_with_site(df, address_bridge), number_bridge, *names, {"Site": "Site"}).select(df.columns)
+    return apply_bridge(df, number_bridge, *names)
+
+
+def _renumbered(feed: DataFrame, address_bridge: DataFrame, scope: list[str]) -> DataFrame:
     """Old to current store number: same usual name, same standard address.
 
     Names count once per distinct raw (number, name, address); numbers once per
@@ -60,19 +74,25 @@ def build_store_number_bridge(feed: DataFrame, address_bridge: DataFrame) -> Dat
         .distinct()
         .join(usual, "Store Number", "left")
     )
-    # An address missing from the bridge is null here, unlike in a rewrite that
-    # keeps the old value: such stores have no site to share.
-    bridge = address_bridge.select(F.col("Original Address"), F.col("Current Address").alias("Site"))
-    placed = sites.join(
-        bridge, text.upper_text(sites["Address"]) == bridge["Original Address"], "left"
-    ).drop("Address", "Original Address")
-    changed = build_bridge(
-        placed,
+    return build_bridge(
+        _with_site(sites, address_bridge).drop("Address"),
         "Store Number",
         ["Usual Name", "Site"],
         "Original Store Number",
         "Current Store Number",
+        scope=scope,
     )
+
+
+def build_store_number_bridge(feed: DataFrame, address_bridge: DataFrame) -> DataFrame:
+    """Old to current store number, whatever the site: an old number can have several current ones."""
+    changed = _renumbered(feed, address_bridge, [])
+    return sort_output(changed, "Current Store Number", "Original Store Number")
+
+
+def build_store_site_bridge(feed: DataFrame, address_bridge: DataFrame) -> DataFrame:
+    """Old to current store number at a site, the scope the pairs were found in."""
+    changed = _renumbered(feed, address_bridge, ["Site"])
     return sort_output(changed, "Current Store Number", "Original Store Number")
 
 
@@ -94,7 +114,8 @@ def _zip_number(c: str):
     return cast_typed(values.correct_values(c, rules.ZIP_FORMAT), "int")
 
 
-def _with_coordinates(df: DataFrame) -> DataFrame:
+def with_coordinates(df: DataFrame) -> DataFrame:
+    """``Store Location`` as ``Longitude`` and ``Latitude``."""
     return df.withColumns(
         {
             "Longitude": split_point("Store Location", 1),
@@ -121,14 +142,14 @@ def build_store_address_history(
             "Zip Code": _zip_number("Zip Code"),
         }
     )
-    bridged = rewrite_store(cleaned, number_bridge)
+    bridged = rewrite_store(cleaned, number_bridge, address_bridge)
     kept = drop_null_duplicates(
         bridged, "County Number", ["Store Number", "Address", "City", "Zip Code"]
     )
     merged = kept.groupBy(*located).agg(F.min("From").alias("From"), F.max("To").alias("To"))
     placed = rewrite_address(_place_corrections(merged), address_bridge, how)
     places = modes_of(
-        _with_coordinates(placed),
+        with_coordinates(placed),
         ADDRESS_KEYS,
         {"Latitude": "Latitude", "Longitude": "Longitude"},
         lows={"From Date": "From"},
@@ -168,12 +189,12 @@ def build_store_address(
             "Zip Code": _zip_number("Zip Code"),
         }
     )
-    bridged = rewrite_store(cleaned, number_bridge)
+    bridged = rewrite_store(cleaned, number_bridge, address_bridge)
     kept = drop_null_duplicates(bridged, "County Number", ["Store Number"])
     placed = rewrite_address(_place_corrections(kept), address_bridge, how)
     named = canonical_by_mode(placed, ["Store Number"], "Store Name", "days")
     places = modes_of(
-        _with_coordinates(named),
+        with_coordinates(named),
         ["Store Number", "Store Name", *ADDRESS_KEYS[1:]],
         {"Latitude": "Latitude", "Longitude": "Longitude"},
         weight="days",

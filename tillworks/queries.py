@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillworks import rules
+from tillworks import table_sql as sql
 from tillworks.adapter import sales, sales_sql
 from tillworks.functions import text, typed, values
-from tillworks.operators import history, modes, numbering, relational
-from tillworks.plans import dimensions, fact, incremental, items, reconcile, stores
+from tillworks.operators import bridges, history, modes, numbering, relational
+from tillworks.plans import fact, incremental, reconcile, stores
+from tillworks.plans.refresh import ASOF_INPUTS, FACT_INPUTS, JOBS
+from tillworks.plans.tuples import write_tuples
 from tillworks.session import materialize, new_folder, tune
 from tillworks.sources import files, months, publish
 
@@ -20,11 +24,11 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
-def register(name: str, sql: str | None = None) -> Callable[[Query], Query]:
+def register(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
     def add(query: Query) -> Query:
         QUERIES[name] = query
-        if sql:
-            ORACLES[name] = f"WITH sales AS ({sales_sql()}) {sql}" if "sales" in sql else sql
+        if oracle:
+            ORACLES[name] = f"WITH sales AS ({sales_sql()}) {oracle}" if "sales" in oracle else oracle
         return query
 
     return add
@@ -38,7 +42,7 @@ def _snake(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.lower().replace(" ", "_") for c in df.columns])
 
 
-def _column_query(name: str, columns: dict[str, str], expression, sql: str, source: str = "sales") -> None:
+def _column_query(name: str, columns: dict[str, str], expression, oracle: str, source: str = "sales") -> None:
     """A query that shows its inputs beside one computed column, distinct."""
     listed = ", ".join(f'"{c}" AS {a}' for a, c in columns.items())
 
@@ -46,42 +50,24 @@ def _column_query(name: str, columns: dict[str, str], expression, sql: str, sour
         df = sales(spark, sf_dir) if source == "sales" else _read(spark, sf_dir, source)
         return df.select(*[F.col(c).alias(a) for a, c in columns.items()], expression().alias("result")).distinct()
 
-    register(name, f"SELECT DISTINCT {listed}, {sql} AS result FROM {source}")(query)
+    register(name, f"SELECT DISTINCT {listed}, {oracle} AS result FROM {source}")(query)
 
 
 # Scalar functions.
 
-_INITCAP = "array_to_string(list_transform(string_split(lower({0}), ' '), lambda w: concat(upper(w[1]), w[2:])), ' ')"
-_CLEAN = "trim(replace(replace(translate({0}, '\"''.,', ''), '  ', ' '), '&', 'and'))"
-
-
-def _address_sql(c: str) -> str:
-    out = f"upper({_CLEAN.format(c)})"
-    for pattern, replacement in rules.ADDRESS_PATTERNS:
-        out = f"regexp_replace({out}, '{pattern}', '{replacement}', 'g')"
-    out = f"trim(replace({out}, '  ', ' '))"
-    quote = lambda s: "'" + s.replace("'", "''") + "'"
-    return f"CASE {out} " + " ".join(f"WHEN {quote(a)} THEN {quote(b)}" for a, b in rules.ADDRESS.items()) + f" ELSE {out} END"
-
-
-def _case_sql(c: str, mapping: dict, key: str | None = None) -> str:
-    show = lambda v: str(v) if isinstance(v, int) else "'" + v.replace("'", "''") + "'"
-    return f"CASE {key or c} " + " ".join(f"WHEN {show(a)} THEN {show(b)}" for a, b in mapping.items()) + f" ELSE {c} END"
-
-
 _SMALL = {"ALGERIA": "Algiers", "FRANCE": "Paris", "NATION_1": "First", "NATION_2": "Second"}
-_column_query("initcap_words", {"name": "p_name"}, lambda: text.initcap_words("p_name"), _INITCAP.format("p_name"), "part")
+_column_query("initcap_words", {"name": "p_name"}, lambda: text.initcap_words("p_name"), sql.INITCAP.format("p_name"), "part")
 _column_query("upper_text", {"url": "url"}, lambda: text.upper_text("url"), "upper(url)", "pages")
-_column_query("clean_text", {"address": "Address"}, lambda: text.clean_text("Address", "upper"), f"upper({_CLEAN.format(chr(34) + 'Address' + chr(34))})")
+_column_query("clean_text", {"address": "Address"}, lambda: text.clean_text("Address", "upper"), f"upper({sql.CLEAN.format(chr(34) + 'Address' + chr(34))})")
 _column_query("trim_spaces", {"city": "City"}, lambda: text.trim_spaces(F.concat(F.lit("  "), "City", F.lit(" "))), 'trim(\'  \' || "City" || \' \')')
 _column_query("squeeze_spaces", {"address": "Address"}, lambda: text.squeeze_spaces("Address"), "replace(\"Address\", '  ', ' ')")
 _column_query("remove_patterns", {"url": "url"}, lambda: text.remove_patterns("url", ["[0-9]+", r"\?.*"]), r"regexp_replace(regexp_replace(url, '[0-9]+', '', 'g'), '\?.*', '', 'g')", "pages")
 _column_query("replace_pattern", {"url": "url"}, lambda: text.replace_pattern("url", "^https?", "web"), "regexp_replace(url, '^https?', 'web', 'g')", "pages")
-_column_query("clean_description", {"name": "p_name"}, lambda: text.clean_description("p_name"), _INITCAP.format("translate(p_name, '.\"''�°', '')"), "part")
+_column_query("clean_description", {"name": "p_name"}, lambda: text.clean_description("p_name"), sql.INITCAP.format("translate(p_name, '.\"''�°', '')"), "part")
 _column_query("clean_item_number", {"item": "Item Number"}, lambda: text.clean_item_number("Item Number"), "translate(\"Item Number\", 'x', '')")
-_column_query("standardize_address", {"address": "Address"}, lambda: text.standardize_address("Address"), _address_sql('"Address"'))
-_column_query("correct_values", {"city": "City"}, lambda: values.correct_values("City", _SMALL), _case_sql('"City"', _SMALL))
-_column_query("override_by_key", {"store": "Store Number", "city": "City"}, lambda: values.override_by_key("City", "Store Number", rules.STORE_CITY | {3: "Three", 4: "Four"}), _case_sql('"City"', rules.STORE_CITY | {3: "Three", 4: "Four"}, '"Store Number"'))
+_column_query("standardize_address", {"address": "Address"}, lambda: text.standardize_address("Address"), sql.address_sql('"Address"'))
+_column_query("correct_values", {"city": "City"}, lambda: values.correct_values("City", _SMALL), sql.case_sql('"City"', _SMALL))
+_column_query("override_by_key", {"store": "Store Number", "city": "City"}, lambda: values.override_by_key("City", "Store Number", rules.STORE_CITY | {3: "Three", 4: "Four"}), sql.case_sql('"City"', rules.STORE_CITY | {3: "Three", 4: "Four"}, '"Store Number"'))
 _column_query("replace_when", {"county": "County Number", "city": "City"}, lambda: values.replace_when("City", F.col("County Number") > 10, F.lit("far")), "CASE WHEN \"County Number\" > 10 THEN 'far' ELSE \"City\" END")
 _column_query("prefer", {"address": "Address", "city": "City"}, lambda: values.prefer("Address", "City"), 'coalesce("Address", "City")')
 _column_query("fix_vendor", {"number": "Vendor Number", "vendor": "Vendor Name"}, lambda: values.fix_vendor("Vendor Number", "Vendor Name"), "CASE WHEN upper(\"Vendor Name\") = 'RESERVOIR DISTILLERY' THEN '988' ELSE CAST(\"Vendor Number\" AS VARCHAR) END")
@@ -203,12 +189,6 @@ def join_using_many(spark, sf_dir):
 # Modes, ranges, numbering.
 
 
-def _mode(keys: str, column: str, source: str, alias: str) -> str:
-    return f"""(SELECT {keys}, max(CASE WHEN rn = 1 THEN v END) AS {alias} FROM (SELECT {keys}, {column} AS v,
-      CASE WHEN {column} IS NOT NULL THEN row_number() OVER (PARTITION BY {keys} ORDER BY {column} IS NULL, count(*) DESC, {column}) END AS rn
-      FROM {source} GROUP BY {keys}, {column}) GROUP BY {keys})"""
-
-
 _NAMED = '(SELECT "Store Number" AS store, "Address" AS address, "County Number" AS county, "City" AS city, "Date" AS day FROM sales)'
 
 
@@ -218,17 +198,17 @@ def _named(spark, sf_dir):
     )
 
 
-@register("mode_single", f"SELECT * FROM {_mode('store', 'address', _NAMED, 'address')}")
+@register("mode_single", f"SELECT * FROM {sql.mode_sql('store', 'address', _NAMED, 'address')}")
 def mode_single(spark, sf_dir):
     return modes.mode_of(_named(spark, sf_dir), ["store"], "address", "address")
 
 
-@register("mode_multi", f"SELECT * FROM {_mode('city', 'address', _NAMED, 'address')} JOIN {_mode('city', 'county', _NAMED, 'county')} USING (city)")
+@register("mode_multi", f"SELECT * FROM {sql.mode_sql('city', 'address', _NAMED, 'address')} JOIN {sql.mode_sql('city', 'county', _NAMED, 'county')} USING (city)")
 def mode_multi(spark, sf_dir):
     return modes.modes_of(_named(spark, sf_dir), ["city"], {"address": "address", "county": "county"})
 
 
-@register("canonical_by_mode", f"SELECT s.store, s.day, m.address FROM {_NAMED} s LEFT JOIN {_mode('store', 'address', _NAMED, 'address')} m USING (store)")
+@register("canonical_by_mode", f"SELECT s.store, s.day, m.address FROM {_NAMED} s LEFT JOIN {sql.mode_sql('store', 'address', _NAMED, 'address')} m USING (store)")
 def canonical_by_mode(spark, sf_dir):
     return modes.canonical_by_mode(_named(spark, sf_dir).select("store", "address", "day"), ["store"], "address").select("store", "day", "address")
 
@@ -276,134 +256,132 @@ def keep_latest(spark, sf_dir):
 
 
 class Jobs:
-    """Inputs of the jobs over one feed, each built once and written."""
+    """The tables of the jobs over one feed, each built once and written; the feed is scanned once for all of them."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.feed = sales(spark, sf_dir)
+        self.spark, self.built = spark, {}
 
-    def item_bridge(self) -> DataFrame:
-        return materialize(items.build_item_number_bridge(self.feed), "item_bridge")
-
-    def address_bridge(self) -> DataFrame:
-        return materialize(stores.build_store_address_bridge(self.feed), "address_bridge")
+    @cached_property
+    def tuples(self) -> dict[str, DataFrame]:
+        return write_tuples(self.feed, new_folder(self.spark, "tuples"))
 
-    def store_bridge(self, address_bridge: DataFrame) -> DataFrame:
-        return materialize(stores.build_store_number_bridge(self.feed, address_bridge), "store_bridge")
+    def plan(self, name: str) -> DataFrame:
+        """A table as it is computed; the tables it needs are written first."""
+        job = JOBS[name]
+        return job.build(self.tuples[job.family], *[self.table(n) for n in job.needs])
 
-    def fact_inputs(self) -> list[DataFrame]:
-        item_bridge, address_bridge = self.item_bridge(), self.address_bridge()
-        store_bridge = self.store_bridge(address_bridge)
-        prices = materialize(items.build_item_price_history(self.feed, item_bridge), "prices")
-        places = materialize(stores.build_store_address_history(self.feed, store_bridge, address_bridge), "places")
-        return [item_bridge, prices, store_bridge, address_bridge, places]
+    def table(self, name: str) -> DataFrame:
+        if name not in self.built:
+            self.built[name] = materialize(self.plan(name), name)
+        return self.built[name]
 
+    def fact(self, asof: bool = False) -> DataFrame:
+        build, names = (fact.build_fact_asof, ASOF_INPUTS) if asof else (fact.build_fact, FACT_INPUTS)
+        return build(self.feed, *[self.table(n) for n in names])
 
-_TUPLES = f"""tuples AS (SELECT translate("Item Number", 'x', '') AS item, {_INITCAP.format("translate(" + '"Item Description"' + ", '.\"''�°', '')")} AS label,
-  CASE WHEN upper("Vendor Name") = 'RESERVOIR DISTILLERY' THEN '988' ELSE CAST("Vendor Number" AS VARCHAR) END AS vendor FROM sales)"""
-_ITEM_BRIDGE = f"""numbers AS (SELECT DISTINCT t.item, t.vendor, u.label FROM tuples t LEFT JOIN {_mode("item", "label", "tuples", "label")} u USING (item)),
-  item_bridge AS (SELECT DISTINCT TRY_CAST(n.item AS INT) AS original_item_number, TRY_CAST(m.cur AS INT) AS current_item_number
-  FROM numbers n JOIN {_mode("label, vendor", "item", "(SELECT * FROM numbers WHERE label IS NOT NULL AND vendor IS NOT NULL)", "cur")} m
-  ON n.label = m.label AND n.vendor = m.vendor WHERE TRY_CAST(n.item AS INT) <> TRY_CAST(m.cur AS INT))"""
-
-
-def _with_sales(ctes: str, select: str) -> str:
-    return f"WITH sales AS ({sales_sql()}), {ctes} {select}"
-
-
-@register("category", f"""SELECT 'CAT_' || row_number() OVER (ORDER BY name) AS category_number, name AS category_name FROM
-  (SELECT DISTINCT {_case_sql("name", rules.CATEGORY_NAME)} AS name FROM (SELECT replace({_INITCAP.format('"Category Name"')}, '  ', ' ') AS name FROM sales) WHERE name IS NOT NULL)""")
-def category(spark, sf_dir):
-    return _snake(dimensions.build_category(sales(spark, sf_dir)))
 
+def _job(name: str, ctes: str, select: str) -> None:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return _snake(Jobs(spark, sf_dir).plan(name))
 
-@register("vendor")
-def vendor(spark, sf_dir):
-    return _snake(dimensions.build_vendor(sales(spark, sf_dir)))
+    QUERIES[name] = query
+    ORACLES[name] = sql.with_sales(ctes, select) if ctes else f"WITH sales AS ({sales_sql()}) {select}"
 
 
-_V = 'CASE WHEN upper("Vendor Name") = \'RESERVOIR DISTILLERY\' THEN 988 ELSE "Vendor Number" END'
-ORACLES["vendor"] = _with_sales(
-    f"""cleaned AS (SELECT {_V} AS number, {_case_sql("name", rules.VENDOR_NAME)} AS name FROM (SELECT *, upper({_CLEAN.format('"Vendor Name"')}) AS name FROM sales)),
-  usual AS {_mode("number", "name", "(SELECT * FROM cleaned WHERE number IS NOT NULL)", "name")},
+_ITEMS, _STORES = f"{sql.TUPLES}, {sql.ITEM_BRIDGE}", sql.STORE_BRIDGE
+_job("category", "", sql.CATEGORY)
+_job(
+    "vendor",
+    f"""cleaned AS (SELECT {sql.VENDOR} AS number, {sql.case_sql("name", rules.VENDOR_NAME)} AS name FROM (SELECT *, upper({sql.CLEAN.format('"Vendor Name"')}) AS name FROM sales)),
+  usual AS {sql.mode_sql("number", "name", "(SELECT * FROM cleaned WHERE number IS NOT NULL)", "name")},
   loose AS (SELECT DISTINCT name FROM cleaned WHERE number IS NULL AND name NOT IN (SELECT name FROM cleaned WHERE number IS NOT NULL))""",
     """SELECT 'VEN_' || number AS vendor_number, name AS vendor_name FROM usual UNION ALL
   SELECT 'VEN_' || ((SELECT max(number) FROM usual) + row_number() OVER (ORDER BY name)), name FROM loose""",
 )
+_job("store_county", "", f"""SELECT DISTINCT 'CNT_' || "County Number" AS county_number, {sql.case_sql('upper("County")', rules.COUNTY_NAME)} AS county_name FROM sales WHERE "County Number" IS NOT NULL""")
+_job("item_number_bridge", _ITEMS, "SELECT * FROM item_bridge")
+_job("item_vendor_bridge", f"{sql.TUPLES}, {sql.ITEM_PAIRS}", "SELECT * FROM item_pairs")
+_job("item_price_history", f"{_ITEMS}, {sql.price_ctes()}", sql.PRICES_SELECT)
+_job("item_vendor_price_history", f"{sql.TUPLES}, {sql.ITEM_ONES}, {sql.price_ctes(True)}", sql.PRICES_SELECT)
+_job("item", f"{_ITEMS}, {sql.ITEM}", sql.ITEM_SELECT)
+_job("store_number_bridge", _STORES, "SELECT * FROM store_bridge")
+_job("store_site_bridge", sql.STORE_PAIRS, "SELECT original_store_number, site, current_store_number FROM store_pairs")
+_job("store_address_history", f"{_STORES}, {sql.history_ctes()}", "SELECT * FROM history")
+_job("store_site_history", f"{sql.STORE_PAIRS}, {sql.history_ctes(True)}", "SELECT * FROM history")
+_job("store_address", f"{_STORES}, {sql.STORE_ADDRESS}", sql.STORE_ADDRESS_SELECT)
+
+
+@register("store_address_bridge", f"""SELECT DISTINCT upper("Address") AS original_address, {sql.address_sql('"Address"')} AS current_address FROM sales WHERE "Address" IS NOT NULL""")
+def store_address_bridge(spark, sf_dir):
+    return _snake(Jobs(spark, sf_dir).plan("store_address_bridge").dropna())
 
 
-@register("store_county", f"""SELECT DISTINCT 'CNT_' || "County Number" AS county_number, {_case_sql('upper("County")', rules.COUNTY_NAME)} AS county_name FROM sales WHERE "County Number" IS NOT NULL""")
-def store_county(spark, sf_dir):
-    return _snake(dimensions.build_store_county(sales(spark, sf_dir)))
-
-
-@register("item_number_bridge")
-def item_number_bridge(spark, sf_dir):
-    return _snake(items.build_item_number_bridge(sales(spark, sf_dir)))
+@register("fact_invoice")
+def fact_invoice(spark, sf_dir):
+    return _snake(Jobs(spark, sf_dir).fact())
 
 
-ORACLES["item_number_bridge"] = _with_sales(f"{_TUPLES}, {_ITEM_BRIDGE}", "SELECT * FROM item_bridge")
+@register("fact_invoice_asof")
+def fact_invoice_asof(spark, sf_dir):
+    return _snake(Jobs(spark, sf_dir).fact(asof=True))
 
 
-@register("item_price_history")
-def item_price_history(spark, sf_dir):
-    jobs = Jobs(spark, sf_dir)
-    return _snake(items.build_item_price_history(jobs.feed, jobs.item_bridge()))
-
-
-_PRICES = f"""prices AS (SELECT 'ITM_' || coalesce(CAST(b.current_item_number AS VARCHAR), item) AS item_number, 'VEN_' || vendor AS vendor_number,
-  pack, ml, cost, retail, min(day) AS from_date, max(day) AS to_date FROM (SELECT translate("Item Number", 'x', '') AS item, CAST({_V} AS VARCHAR) AS vendor, "Pack" AS pack,
-  "Bottle Volume (ml)" AS ml, "State Bottle Cost" AS cost, "State Bottle Retail" AS retail, "Date" AS day FROM sales) s
-  LEFT JOIN item_bridge b ON TRY_CAST(s.item AS INT) = b.original_item_number GROUP BY 1, 2, 3, 4, 5, 6)"""
-_PRICE_ORDER = "PARTITION BY item_number, vendor_number ORDER BY to_date {0}, pack {0}, ml {0}, cost {0}, retail {0}, from_date {0}"
-ORACLES["item_price_history"] = _with_sales(
-    f"{_TUPLES}, {_ITEM_BRIDGE}, {_PRICES}",
-    f"""SELECT item_number, vendor_number, pack, ml AS bottle_volume_ml, cost AS state_bottle_cost, retail AS state_bottle_retail, from_date, to_date,
-  row_number() OVER ({_PRICE_ORDER.format('DESC')}) = 1 AS is_current, CAST(row_number() OVER ({_PRICE_ORDER.format('')}) AS INT) AS price_sequence FROM prices""",
-)
+ORACLES |= {"fact_invoice": sql.FACT, "fact_invoice_asof": sql.FACT_ASOF}
 
 
-@register("item")
-def item(spark, sf_dir):
-    jobs = Jobs(spark, sf_dir)
-    categories = materialize(dimensions.build_category(jobs.feed), "category")
-    return _snake(items.build_item(jobs.feed, categories, jobs.item_bridge()))
+@register("bridge_conflicts")
+def bridge_conflicts(spark, sf_dir):
+    """What a bridge without its scope leaves open: the old numbers with several current ones, of both kinds."""
+    jobs, found = Jobs(spark, sf_dir), []
+    for kind, name in (("item", "item_number_bridge"), ("store", "store_number_bridge")):
+        bridge = jobs.table(name).toDF("original", "current")
+        found.append(bridges.bridge_conflicts(bridge, ["original"], "current").select(F.lit(kind).alias("kind"), "*"))
+    return found[0].unionByName(found[1])
 
 
-@register("store_address_bridge", f"""SELECT DISTINCT upper("Address") AS original_address, {_address_sql('"Address"')} AS current_address FROM sales WHERE "Address" IS NOT NULL""")
-def store_address_bridge(spark, sf_dir):
-    return _snake(stores.build_store_address_bridge(sales(spark, sf_dir)).dropna())
+_CONFLICTS = "SELECT '{0}' AS kind, original_{0}_number AS original, count(*) AS n_current, min(current_{0}_number) AS lowest, max(current_{0}_number) AS highest FROM {0}_bridge GROUP BY 2 HAVING count(*) > 1"
+ORACLES["bridge_conflicts"] = sql.with_sales(f"{_ITEMS}, {_STORES}", f"{_CONFLICTS.format('item')} UNION ALL {_CONFLICTS.format('store')}")
 
 
-@register("store_number_bridge")
-def store_number_bridge(spark, sf_dir):
+@register("line_report")
+def line_report(spark, sf_dir):
+    """Per month, the lines of the feed and of the as-of fact: what the address join dropped."""
     jobs = Jobs(spark, sf_dir)
-    return _snake(stores.build_store_number_bridge(jobs.feed, jobs.address_bridge()))
+    feed = months.with_months(jobs.feed)
+    return _snake(fact.line_report(feed, fact.build_fact_asof(feed, *[jobs.table(n) for n in ASOF_INPUTS])))
 
 
-@register("store_address_history")
-def store_address_history(spark, sf_dir):
-    jobs = Jobs(spark, sf_dir)
-    bridge = jobs.address_bridge()
-    return _snake(stores.build_store_address_history(jobs.feed, jobs.store_bridge(bridge), bridge))
+ORACLES["line_report"] = sql.LINE_REPORT
 
 
-@register("store_address")
-def store_address(spark, sf_dir):
-    jobs = Jobs(spark, sf_dir)
-    bridge = jobs.address_bridge()
-    return _snake(stores.build_store_address(jobs.feed, jobs.store_bridge(bridge), bridge))
+@register("geo_mode")
+def geo_mode(spark, sf_dir):
+    """The usual coordinates of every store and city, with the days it was seen there."""
+    rows = stores.with_coordinates(sales(spark, sf_dir).select("Store Number", "City", "Store Location", "Date"))
+    return _snake(modes.modes_of(
+        rows, ["Store Number", "City"], {"Latitude": "Latitude", "Longitude": "Longitude"}, lows={"From Date": "Date"}, highs={"To Date": "Date"}
+    ))
 
 
-@register("fact_invoice")
-def fact_invoice(spark, sf_dir):
-    jobs = Jobs(spark, sf_dir)
-    return _snake(fact.build_fact(jobs.feed, *jobs.fact_inputs()))
+ORACLES["geo_mode"] = sql.GEO_MODE
 
 
-@register("fact_invoice_asof")
-def fact_invoice_asof(spark, sf_dir):
-    jobs = Jobs(spark, sf_dir)
-    return _snake(fact.build_fact_asof(jobs.feed, *jobs.fact_inputs()))
+@register("load_tables", """SELECT 'store_county' AS loaded, "County Number" AS key, count(*) AS n FROM (SELECT DISTINCT 'CNT_' || "County Number" AS "County Number" FROM sales WHERE "County Number" IS NOT NULL) GROUP BY 2
+  UNION ALL SELECT 'sales_feed', CAST("Store Number" AS VARCHAR), count(*) FROM sales GROUP BY 2""")
+def load_tables(spark, sf_dir):
+    """A CSV table and a Parquet table, loaded by name with their declared schemas."""
+    jobs, folder = Jobs(spark, sf_dir), new_folder(spark, "loaded")
+    dated = jobs.feed.withColumn("Date", F.date_format("Date", rules.FEED_DATE_FORMAT))
+    files.write_table(dated, f"{folder}/feed", format="csv")
+    files.write_table(jobs.plan("store_county"), f"{folder}/county")
+    loaded = files.load_tables(spark, {"sales_feed": (f"{folder}/feed", "csv"), "store_county": (f"{folder}/county", "parquet")})
+    keys = {"sales_feed": F.col("Store Number").cast("string"), "store_county": F.col("County Number")}
+    counts = [
+        df.select(keys[name].alias("key")).distinct() if name == "store_county" else df.select(keys[name].alias("key")) for name, df in loaded.items()
+    ]
+    named = [c.groupBy("key").agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("loaded"), "key", "n") for name, c in zip(loaded, counts, strict=True)]
+    return named[0].unionByName(named[1])
 
 
 def _reconcile(table: str) -> None:
