@@ -17,7 +17,8 @@ from tillworks.plans import fact, incremental, reconcile, stores
 from tillworks.plans.refresh import ASOF_INPUTS, FACT_INPUTS, JOBS
 from tillworks.plans.tuples import write_tuples
 from tillworks.session import materialize, new_folder, tune
-from tillworks.sources import files, months, publish
+from tillworks.sources import files, landing, months, publish
+from tillworks.streaming import feed
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -518,3 +519,82 @@ def next_month(spark, sf_dir):
 @register("backfill_list", f"SELECT year, month FROM ({_MONTHS}) WHERE month % 5 = 0")
 def backfill_list(spark, sf_dir):
     return incremental.backfill_list(upsert_checkpoint(spark, sf_dir), "invoice")
+
+
+# Deliveries, batches, and the fact that follows them, over the orders.
+
+_ORDER_DAYS = """SELECT o_orderkey, o_custkey, o_totalprice, CAST(o_orderdate AS DATE) AS "Date" FROM orders"""
+
+
+def _deliveries(spark, sf_dir) -> dict[str, DataFrame]:
+    """The orders in three deliveries: two by year, and a late one with some orders of every month."""
+    rows = _read(spark, sf_dir, "orders").selectExpr("o_orderkey", "o_custkey", "o_totalprice", "CAST(o_orderdate AS DATE) AS Date")
+    late = F.col("o_orderkey") % 7 == 0
+    first = F.year("Date") < 1995
+    return {"early": rows.filter(~late & first), "recent": rows.filter(~late & ~first), "late": rows.filter(late)}
+
+
+def orders_by_customer(feed: DataFrame) -> DataFrame:
+    """A monthly fact of the orders: a row per month and customer."""
+    return feed.groupBy(*months.MONTH, "o_custkey").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.round(F.col("o_totalprice") * 100).cast("long")).alias("cents"), F.max("Date").alias("last_day")
+    )
+
+
+_BY_CUSTOMER = f"""SELECT CAST(year("Date") AS INT) AS "Year", CAST(month("Date") AS INT) AS "Month", o_custkey, count(*) AS n,
+  CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) AS cents, max("Date") AS last_day FROM ({_ORDER_DAYS}) GROUP BY 1, 2, 3"""
+
+
+@register("land_append", f'SELECT *, CAST(year("Date") AS INT) AS "Year", CAST(month("Date") AS INT) AS "Month" FROM ({_ORDER_DAYS})')
+def land_append(spark, sf_dir):
+    """Months that grow by late orders; a delivery that comes again, and one that comes wrong first, leave no copy."""
+    root, parts = new_folder(spark, "landing"), _deliveries(spark, sf_dir)
+    landing.land(parts["early"].unionByName(parts["late"]), root, "recent")
+    for name in ("early", "recent", "late", "early"):
+        landing.land(parts[name], root, name)
+    return landing.read_landed(spark, root)
+
+
+@register("publish_batch", _ORDER_DAYS)
+def publish_batch(spark, sf_dir):
+    """Batches by name, one of them twice: one copy of each."""
+    root, parts = new_folder(spark, "published"), _deliveries(spark, sf_dir)
+    for name in ("early", "late", "early", "recent"):
+        landing.publish_batch(parts[name], root, name)
+    return landing.read_published(spark, root)
+
+
+@register("monthly_feed", _BY_CUSTOMER)
+def monthly_feed(spark, sf_dir):
+    """Two deliveries with some months marked as failed, then the late one: the second run takes the changed months."""
+    root, facts, parts = new_folder(spark, "landing"), new_folder(spark, "facts"), _deliveries(spark, sf_dir)
+    store = incremental.new_store(spark)
+    store.upsert(_progress(spark, sf_dir, "year = 1993 AND month % 6 = 0").withColumn("status", F.lit(incremental.NOT_UPLOADED)))
+    for names in (("early", "recent"), ("late",)):
+        for name in names:
+            landing.land(parts[name], root, name)
+        incremental.monthly_feed(spark, root, facts, orders_by_customer, store, batch=100)
+    return incremental.read_fact(spark, facts, store)
+
+
+@register("feed_stream", _BY_CUSTOMER)
+def feed_stream(spark, sf_dir):
+    """Three deliveries, one late, worked off by two runs of the stream from one checkpoint."""
+    root, facts, parts = new_folder(spark, "landing"), new_folder(spark, "facts"), _deliveries(spark, sf_dir)
+    store, checkpoint = incremental.new_store(spark), new_folder(spark, "stream")
+    for names in (("early", "recent"), ("late",)):
+        for name in names:
+            landing.land(parts[name], root, name)
+        feed.feed_stream(spark, root, facts, orders_by_customer, store, checkpoint).awaitTermination()
+    return incremental.read_fact(spark, facts, store)
+
+
+@register("progress_store", f"""SELECT 'invoice' AS kind, year, month, CASE WHEN month % 5 = 0 THEN 'NOT UPLOADED' ELSE 'File Created' END AS status FROM ({_MONTHS})
+  UNION ALL SELECT 'gcs', year, month, 'UPLOADED' FROM ({_MONTHS}) WHERE month % 5 <> 0""")
+def progress_store(spark, sf_dir):
+    """Two kinds of progress in one store: all months, then the failed ones, then what was sent on."""
+    store = incremental.new_store(spark)
+    store.upsert(_progress(spark, sf_dir, "true"))
+    store.upsert(_progress(spark, sf_dir, "month % 5 = 0").withColumn("status", F.lit(incremental.NOT_UPLOADED)))
+    store.upsert(_progress(spark, sf_dir, "month % 5 <> 0").withColumns({"kind": F.lit("gcs"), "status": F.lit(incremental.UPLOADED)}))
+    return store.read().select("kind", "year", "month", "status")
