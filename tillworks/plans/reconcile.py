@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StringType, StructField, StructType
 
+from tillworks import rules
 from tillworks.functions.typed import bool_to_string, round_money, shift_calendar_text
 from tillworks.schemas import schema_of
 
@@ -32,6 +33,22 @@ def export_schema(table: str) -> StructType:
     )
 
 
+def export_table(table: str, df: DataFrame, csv_path: str) -> None:
+    """Write a table as the export that ``reconcile_file`` takes in.
+
+    Dates of the shifted tables become text of the later calendar.  The year is
+    moved as text: a leap day has no date there, and stays the 29th of February.
+    """
+    shifted = {c: _later_calendar(c) for c in _SHIFTED.get(table, [])}
+    (df.withColumns(shifted) if shifted else df).write.option("header", True).csv(csv_path)
+
+
+def _later_calendar(c: str) -> Column:
+    day = F.date_format(c, "yyyy-MM-dd")
+    year = F.substring(day, 1, 4).cast("int") + rules.CALENDAR_OFFSET_YEARS
+    return F.concat(year.cast("string"), F.substring(day, 5, 6))
+
+
 def reconcile(table: str, exported: DataFrame) -> DataFrame:
     """Undo the calendar shift, round money, turn flags into text."""
     changed: dict[str, Column] = {}
