@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -57,4 +60,46 @@ def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     """
     path = new_folder(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    done = df.sparkSession.read.schema(df.schema).parquet(path)
+    done._written_to = path
+    if (owned := _made.get()) is not None:
+        owned.append(path)
+    return done
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete the folders of tables that ``materialize`` returned, once what reads them has been written."""
+    for df in tables:
+        _delete(df.sparkSession, df._written_to)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+# The folders that ``materialize`` has made since the innermost ``scratch`` began.
+_made: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession, *, delete: bool = True) -> Iterator[list[str]]:
+    """Own the folders that ``materialize`` makes in the block: a list of them.
+
+    They are deleted at its end, as whatever reads them must have been written
+    by then; with ``delete=False`` the caller does that, by ``drop_folders``.
+    """
+    owned: list[str] = []
+    outer = _made.set(owned)
+    try:
+        yield owned
+    finally:
+        _made.reset(outer)
+        if delete:
+            drop_folders(spark, owned)
+
+
+def drop_folders(spark: SparkSession, folders: list[str]) -> None:
+    """Delete ``folders`` and empty the list."""
+    while folders:
+        _delete(spark, folders.pop())
