@@ -13,6 +13,7 @@ from tillworks.llm import html_text, language, mixing, ngram_join, packing, pii,
 from tillworks.llm.common import settings as session_settings
 from tillworks.llm.components import components
 from tillworks.llm.queries import vocabulary
+from tillworks.session import materialize
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score string, size string, id string"
 
@@ -213,7 +214,7 @@ def test_toxicity_rates_words_by_every_ngram(spark, monkeypatch):
     texts = [None, "", *[" ".join(rng.choice(words) for _ in range(30)) for _ in range(60)]]
     docs = spark.createDataFrame([(i if i % 5 else None, t, i % 2) for i, t in enumerate(texts)], "doc_id long, text string, y int")
     grams = toxicity.count_grams(docs, "text", "y")
-    table = toxicity.ratios(grams).localCheckpoint()
+    table = materialize(toxicity.ratios(grams))
     known = {r["g"]: r["r"] for r in table.collect()}
     assert grams.count() == sum(len(g) == toxicity.ORDER for g in known)
 
@@ -228,7 +229,8 @@ def test_toxicity_rates_words_by_every_ngram(spark, monkeypatch):
         top = sorted(sorted({round(ratio(w), 9) for w in ws}, reverse=True)[:3] + [0.0, 0.0], reverse=True)
         want.append([1.0, 10 * sum(map(ratio, ws)) / sum(len(w) + 1 for w in ws), max(ratio(w) / (len(w) + 1) for w in ws), top[0], sum(top[:3]) / 3] if ws else [1.0, 0, 0, 0, 0])
     more = docs.unionByName(spark.createDataFrame([(7, "unseenwörd " + words[0], 0)], docs.schema))
-    for frequent in (0, 40, 50_000):
+    for held, frequent in ((10**6, 0), (0, 0), (0, 40), (0, 50_000)):
+        monkeypatch.setattr(toxicity, "HELD_GRAMS", held)
         monkeypatch.setattr(toxicity, "FREQUENT", frequent)
         got = [r["x"] for r in toxicity.features(more, table, ["doc_id"], "text").collect()]
         assert np.allclose(np.array(sorted(got)), np.array(sorted(want)), atol=1e-6)

@@ -1,7 +1,8 @@
 """Toxicity by class-conditional Kneser-Ney models over the characters of words.
 
-Two models of order ``ORDER`` are counted from all labelled training rows, one
-of toxic and one of ordinary documents.  Each subtracts a discount from its own
+Two models of order ``ORDER`` are counted from the labelled training rows, one
+of toxic and one of ordinary documents; only the rows of the calibration, a
+quarter of up to 3,000 and a shrinking share of more, are not counted.  Each subtracts a discount from its own
 counts and gives the mass to one lower-order Kneser-Ney model of continuation
 counts that both classes share, so that rare expressions are told apart only as
 far as the classes' own counts do.  The log-likelihood ratio of an n-gram is
@@ -10,12 +11,16 @@ seen neither, the shared part cancels.  A word's ratio is the sum over its
 characters; a document is described by length-normalised ratios (of the whole
 text and of its most telling words), which a logistic model turns into a score.
 
-The ratios are a Spark table of every n-gram counted.  Words are rated by joins
-with it, and rows by joins with the rated words; nothing is dropped.
+The ratios are a Spark table of every n-gram counted.  While it has at most
+``HELD_GRAMS`` rows, which is counted first, tasks hold it and rate the words of
+their own rows; a larger one is joined with the n-grams of all distinct words,
+and the rated words with the rows.  Both ways rate every word by every n-gram.
 
 Cases: a null or empty text has no words and gets the score of zero ratios;
 without labels of both classes every score is the share of toxic labels;
-repeated labels of an id count as toxic if one is; ties need no order.
+repeated labels of an id count as toxic if one is; ties need no order; an empty
+table of documents gives no scores, without labels it is the share 0.5.  Long
+words cost their length once.  Ids and other columns never pass through Python.
 """
 
 from __future__ import annotations
@@ -24,20 +29,25 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
+from itertools import count
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tillworks.session import materialize
+from tillworks.session import materialize, release
 
 ORDER = 5
 DISCOUNT = 0.75
 # The logistic model is fitted on about this many labelled rows, kept out of the counts.
 CALIBRATION_ROWS = 3000
 FLUSH = 200_000
-# So many words' ratios are held by a task; those of all others are joined.
+# Ratios that a task holds at most, about 50 bytes each; more are joined.
+HELD_GRAMS = 1_000_000
+# So many words' ratios are held by a task in the joined way; those of all others are joined.
 FREQUENT = 50_000
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -164,11 +174,68 @@ def word_counts(df: DataFrame, text: str) -> DataFrame:
     return local.groupBy("word").agg(F.sum("n").alias("n"))
 
 
+class HeldRatios:
+    """Ratios of n-grams by their code points, looked up by a hash and compared in full."""
+
+    def __init__(self, grams: list[str], ratio: np.ndarray):
+        sizes = np.array([len(g) for g in grams], np.int64)
+        self.tables = {}
+        for width in (ORDER, ORDER - 1):
+            at = np.flatnonzero(sizes == width)
+            joined = "".join(grams[i] for i in at)
+            codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), "<u4").reshape(-1, width)
+            # The first seed under which no two n-grams of the table share a hash.
+            seed = next(s for s in count() if len(np.unique(self._hash(codes, s))) == len(codes))
+            order = np.argsort(self._hash(codes, seed))
+            self.tables[width] = (seed, self._hash(codes, seed)[order], codes[order], ratio[at][order])
+
+    @staticmethod
+    def _hash(codes: np.ndarray, seed: int) -> np.ndarray:
+        h = np.full(len(codes), np.uint64(seed))
+        for i in range(codes.shape[1]):
+            h = (h ^ (h >> np.uint64(31)) ^ codes[:, i]) * np.uint64(0x9E3779B97F4A7C15)
+        return h ^ (h >> np.uint64(29))
+
+    def _find(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ratio of each n-gram, and whether the table has it."""
+        seed, hashes, known, ratio = self.tables[codes.shape[1]]
+        if not len(hashes):
+            return np.zeros(len(codes)), np.zeros(len(codes), bool)
+        h = self._hash(codes, seed)
+        at = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
+        found = hashes[at] == h
+        found[found] = (known[at[found]] == codes[found]).all(1)
+        return ratio[at], found
+
+    def rate(self, words: list[str]) -> np.ndarray:
+        """The log-likelihood ratio of each word, over its characters and its end."""
+        codes, starts = _codes(words)
+        live = _live(codes, ORDER)
+        # The windows of a long list are cut in pieces, for bounded memory.
+        total, view = np.zeros(len(words)), np.lib.stride_tricks.sliding_window_view(codes, ORDER)
+        for piece in np.array_split(live, len(live) // FLUSH + 1):
+            windows = view[piece]
+            own, has_own = self._find(windows)
+            back, has_back = self._find(windows[:, :-1])
+            value = np.where(has_own, own, np.where(has_back, back, 0.0))
+            total += np.bincount(np.searchsorted(starts, piece, "right") - 1, value, len(words))
+        return total
+
+
 def word_ratios(words: DataFrame, table: DataFrame) -> DataFrame:
-    """``word, n, r``: the log-likelihood ratio of each word, over its characters and its end."""
-    padded = F.concat(F.lit(" " * (ORDER - 1)), F.col("word"), F.lit("\n"))
-    windows = F.transform(F.sequence(F.lit(1), F.char_length("word") + 1), lambda i: F.substring(padded, i, F.lit(ORDER)))
-    grams = words.select("word", "n", F.explode(windows).alias("g"))
+    """``word, n, r`` of the rows ``word, n, wid``, by joins with the whole table."""
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # The number stands for the word: a copy of it in each window would be quadratic.
+        for rows in batches:
+            codes, starts = _codes(rows["word"].tolist())
+            live = _live(codes, ORDER)
+            view, wid = np.lib.stride_tricks.sliding_window_view(codes, ORDER), rows["wid"].to_numpy()
+            for piece in np.array_split(live, len(live) // FLUSH + 1):
+                grams = np.ascontiguousarray(view[piece]).view(f"<U{ORDER}").ravel()
+                yield pd.DataFrame({"wid": wid[np.searchsorted(starts, piece, "right") - 1], "g": grams.astype(object)})
+
+    grams = words.select("wid", "word").mapInPandas(cut, "wid long, g string")
     back = table.filter(F.char_length("g") == ORDER - 1).select(F.col("g").alias("h"), F.col("r").alias("back"))
     own = table.filter(F.char_length("g") == ORDER)
     # The same n-gram stands in many words: its ratio is looked up once.
@@ -176,7 +243,8 @@ def word_ratios(words: DataFrame, table: DataFrame) -> DataFrame:
         grams.select("g").distinct().join(own, "g", "left").withColumn("h", F.substring("g", 1, ORDER - 1)).join(back, "h", "left")
         .select("g", F.coalesce("r", "back", F.lit(0.0)).alias("r"))
     )
-    return grams.join(known, "g").groupBy("word").agg(F.first("n").alias("n"), F.sum("r").alias("r"))
+    rated = grams.join(known, "g").groupBy("wid").agg(F.sum("r").alias("r"))
+    return words.join(rated, "wid").select("word", "n", "r")
 
 
 N_FEATURES = 5
@@ -191,13 +259,57 @@ def _row(total: float, size: int, most: float, top: list[float]) -> list[float]:
     return [1.0, 10 * total / size, most, top[0], sum(top[:3]) / 3]
 
 
-def features(df: DataFrame, table: DataFrame, keep: list[str], text: str) -> DataFrame:
-    """``keep`` and ``x``, the features of the text, for every row.
+def _parts(words: Counter, ratio: dict) -> tuple[float, int, float | None, list[float], list[str]]:
+    """Sum, size, maximum and best ratios of a row's words, and the words without a ratio."""
+    total, size, most, top, rare = 0.0, 0, None, set(), []
+    for w, n in words.items():
+        size += n * (len(w) + 1)
+        r = ratio.get(w)
+        if r is None:
+            rare.append(w)
+        else:
+            total += n * r
+            top.add(r)
+            most = r / (len(w) + 1) if most is None else max(most, r / (len(w) + 1))
+    return total, size, most, sorted(top, reverse=True)[:3], rare
+
 
-    Words are rated by the whole ``table``.  Ratios of frequent words are sent to the
-    tasks, at most ``FREQUENT`` of them; those of all other words are joined to the rows.
+def features(df: DataFrame, table: DataFrame, keep: list[str], text: str) -> DataFrame:
+    """``keep`` and ``x``, the features of the text, for every row."""
+    if table.count() > HELD_GRAMS:
+        return _joined_features(df, table, keep, text)
+    rows = table.toPandas()
+    held = HeldRatios(rows["g"].tolist(), rows["r"].to_numpy(float))
+    shared = df.sparkSession.sparkContext.broadcast(held)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ratio: dict[str, float] = {}
+        for batch in batches:
+            texts = batch.column(len(keep)).to_pylist()
+            counted = [Counter(WORD.findall(t.lower())) if t else Counter() for t in texts]
+            fresh = list({w: None for words in counted for w in words if w not in ratio})
+            if len(ratio) + len(fresh) > FLUSH:
+                ratio.clear()
+                fresh = list({w: None for words in counted for w in words})
+            if fresh:
+                ratio.update(zip(fresh, shared.value.rate(fresh).tolist(), strict=True))
+            x = [_row(*_parts(words, ratio)[:4]) for words in counted]
+            kept = [batch.column(i) for i in range(len(keep))]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(x, pa.list_(pa.float64()))], [*keep, "x"])
+
+    source = df.select(*keep, F.col(text).alias("_t"))
+    return source.mapInArrow(run, df.select(*keep).schema.add("x", T.ArrayType(T.DoubleType())))
+
+
+def _joined_features(df: DataFrame, table: DataFrame, keep: list[str], text: str) -> DataFrame:
+    """The same by joins.
+
+    Ratios of frequent words are sent to the tasks, at most ``FREQUENT`` of them;
+    those of all other words are joined to the rows.
     """
-    rated = materialize(word_ratios(materialize(word_counts(df, text), "words"), table), "rated")
+    words = materialize(word_counts(df, text).withColumn("wid", F.monotonically_increasing_id()), "words")
+    rated = materialize(word_ratios(words, table), "rated")
+    release(words)
     sizes = dict(rated.groupBy(F.floor(F.log2("n")).alias("k")).count().collect())
     least, held = 64, 0
     while least > 1 and held + sizes.get(least - 1, 0) <= FREQUENT:
@@ -207,30 +319,27 @@ def features(df: DataFrame, table: DataFrame, keep: list[str], text: str) -> Dat
     known = rated.filter(frequent).select("word", "r").toPandas()
     shared = df.sparkSession.sparkContext.broadcast(dict(zip(known["word"], known["r"].tolist(), strict=True)))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ratio = shared.value
-        for rows in batches:
+        for batch in batches:
             out = []
-            for t in rows.pop("_t"):
-                words = Counter(WORD.findall(t.lower())) if t else {}
-                total, size, most, top, rare = 0.0, 0, None, set(), []
-                for w, n in words.items():
-                    size += n * (len(w) + 1)
-                    r = ratio.get(w)
-                    if r is None:
-                        rare.append(w)
-                    else:
-                        total += n * r
-                        top.add(r)
-                        most = r / (len(w) + 1) if most is None else max(most, r / (len(w) + 1))
-                out.append((total, size, most, sorted(top, reverse=True)[:3], rare, [words[w] for w in rare]))
-            names = ["_total", "_size", "_most", "_top", "_rare", "_times"]
-            yield pd.concat([rows.reset_index(drop=True), pd.DataFrame(out, columns=names)], axis=1)
-
+            for t in batch.column(len(kept)).to_pylist():
+                words = Counter(WORD.findall(t.lower())) if t else Counter()
+                parts = _parts(words, ratio)
+                out.append((*parts, [words[w] for w in parts[4]]))
+            found = [pa.array(values, kind) for values, (_, kind) in zip(zip(*out, strict=True), added, strict=True)]
+            yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in range(len(kept))], *found], [*kept, *[n for n, _ in added]])
+
+    added = [
+        ("_total", pa.float64()), ("_size", pa.int64()), ("_most", pa.float64()), ("_top", pa.list_(pa.float64())),
+        ("_rare", pa.list_(pa.string())), ("_times", pa.list_(pa.int32())),
+    ]
+    kept = [*keep, "_row"]
     source = df.select(*keep, F.monotonically_increasing_id().alias("_row"), F.col(text).alias("_t"))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema if f.name != "_t")
+    schema = T.StructType(source.schema.fields[:-1])
     held_parts = "_total double, _size long, _most double, _top array<double>, _rare array<string>, _times array<int>"
-    parts = materialize(source.mapInPandas(run, f"{fields}, {held_parts}"), "parts")
+    schema = T.StructType([*schema.fields, *T.StructType.fromDDL(held_parts).fields])
+    parts = materialize(source.mapInArrow(run, schema), "parts")
     rest = (
         parts.select("_row", F.explode(F.arrays_zip("_rare", "_times")).alias("w"))
         .select("_row", F.col("w._rare").alias("word"), F.col("w._times").alias("times"))
@@ -245,13 +354,13 @@ def features(df: DataFrame, table: DataFrame, keep: list[str], text: str) -> Dat
         F.concat("_top", F.coalesce("_top2", F.array().cast("array<double>"))).alias("_top"),
     )
 
-    def finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in batches:
-            x = [_row(*v) for v in zip(*(rows.pop(c).tolist() for c in ("_total", "_size", "_most", "_top")), strict=True)]
-            yield rows.assign(x=x)
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = len(keep)
+            x = [_row(*v) for v in zip(*(batch.column(at + i).to_pylist() for i in range(4)), strict=True)]
+            yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in range(at)], pa.array(x, pa.list_(pa.float64()))], [*keep, "x"])
 
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keep).schema)
-    return both.mapInPandas(finish, f"{kept}, x array<double>")
+    return both.mapInArrow(finish, df.select(*keep).schema.add("x", T.ArrayType(T.DoubleType())))
 
 
 def train(docs: DataFrame, labels: DataFrame, id_column: str, text: str, label: str):
@@ -268,6 +377,7 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str, text: str, label:
     counted = rows.filter(~apart).join(marked.filter(~apart), id_column)
     grams = materialize(count_grams(counted, "_t", "_y"), "grams")
     table = materialize(ratios(grams), "ratios")
+    release(grams)
     sample = features(rows.filter(apart).join(marked.filter(apart), id_column), table, ["_y"], "_t").toPandas()
     weights = np.array([np.log(share / (1 - share))] + [0.0] * (N_FEATURES - 1))
     if sample["_y"].nunique() == 2:
