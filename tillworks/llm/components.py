@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillworks.session import materialize
+from tillworks.session import materialize, release
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
-    """``id, root`` for every vertex of ``edges`` (``a, b``); vertices share a root when joined.
+    """``id, root`` for every vertex of ``edges`` (``a, b``), written; vertices share a root when joined.
 
     In each round every vertex takes the label with the least priority among
     itself and its neighbours, and edges move to the new labels.  A priority is
@@ -28,18 +28,20 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
             both.groupBy("a").agg(F.min(rank("b")).alias("m")).select("a", F.least("m", rank("a"))["v"].alias("to")), "moves"
         )
         if labels is None:
-            labels = moves.select(F.col("a").alias("id"), F.col("to").alias("root"))
+            before, labels = None, materialize(moves.select(F.col("a").alias("id"), F.col("to").alias("root")), "labels")
         else:
             step = moves.select(F.col("a").alias("_a"), F.col("to").alias("_to"))
-            labels = materialize(
+            before, labels = labels, materialize(
                 labels.join(step, labels["root"] == step["_a"], "left").select("id", F.coalesce("_to", "root").alias("root")), "labels"
             )
         to_a = moves.select(F.col("a"), F.col("to").alias("x"))
         to_b = moves.select(F.col("a").alias("b"), F.col("to").alias("y"))
         moved = edges.join(to_a, "a").join(to_b, "b").filter("x <> y")
-        edges = materialize(moved.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "edges")
+        done, edges = edges, materialize(moved.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "edges")
+        # What the next round reads has been written.
+        release(done, moves, *([before] if before is not None else []))
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     if labels is None:
-        return edges.select(F.col("a").alias("id"), F.col("b").alias("root"))
+        return materialize(edges.select(F.col("a").alias("id"), F.col("b").alias("root")), "labels")
     return labels
