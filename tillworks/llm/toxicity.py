@@ -374,7 +374,8 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str, text: str, label:
     draw = F.pmod(F.xxhash64(F.lit("toxic"), F.col(id_column)), F.lit(1 << 30)) / float(1 << 30)
     apart = draw < min(0.25, CALIBRATION_ROWS / n)
     rows = docs.filter(F.col(text).isNotNull()).select(id_column, F.col(text).alias("_t"))
-    counted = rows.filter(~apart).join(marked.filter(~apart), id_column)
+    # Labels grow with the documents: both sides are shuffled at every size.
+    counted = rows.filter(~apart).join(marked.filter(~apart).hint("merge"), id_column)
     grams = materialize(count_grams(counted, "_t", "_y"), "grams")
     table = materialize(ratios(grams), "ratios")
     release(grams)
