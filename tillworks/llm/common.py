@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tillworks.session import materialize, tune
 
@@ -37,6 +40,37 @@ def id_remainder(column: str, modulus: int) -> Column:
     return F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(modulus))
 
 
+def beside(
+    df: DataFrame, keep: list[str], inputs: list[Column], added: str, start: Callable[[], Callable[..., Sequence[Sequence]]]
+) -> DataFrame:
+    """The columns ``keep`` and the columns ``added`` (as DDL), row by row.
+
+    ``start`` is called once a task; what it returns gets a list of values for each
+    of ``inputs``, a batch at a time, and gives one list for each added column.
+    Kept columns go around Python as they are: a long beside a null would lose
+    digits on the way, and whatever their types or names are does not matter.
+    """
+    kept = df.select(*keep)
+    fields = T.StructType.fromDDL(added).fields
+    clash = {f.name for f in fields} & set(keep)
+    if clash:
+        raise ValueError(f"columns {sorted(clash)} are there already")
+    kinds = [to_arrow_type(f.dataType) for f in fields]
+    names = [*keep, *[f.name for f in fields]]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        work = start()
+        for batch in batches:
+            done = work(*[batch.column(i).to_pylist() for i in range(len(keep), batch.num_columns)])
+            made = [pa.array(values, kind) for values, kind in zip(done, kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in range(len(keep))], *made], names)
+
+    # Input names that no kept column has.
+    prefix = "_" * max([1, *(len(c) + 1 for c in keep)])
+    source = df.select(*keep, *[c.alias(f"{prefix}{i}") for i, c in enumerate(inputs)])
+    return source.mapInArrow(run, T.StructType([*kept.schema.fields, *fields]))
+
+
 def running_total(df: DataFrame, order: list[str], value: str, name: str) -> DataFrame:
     """Add ``name``: the sum of ``value`` over all rows before this one in ``order``.
 
@@ -47,15 +81,19 @@ def running_total(df: DataFrame, order: list[str], value: str, name: str) -> Dat
     """
     schema = T.StructType([*df.schema.fields, T.StructField("_slice", T.IntegerType()), T.StructField("_at", T.LongType())])
 
-    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    place = df.columns.index(value)
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slice_id, total = TaskContext.get().partitionId(), 0
-        for rows in batches:
-            ends = total + rows[value].cumsum()
-            yield rows.assign(_slice=slice_id, _at=(ends - rows[value]).astype("int64"))
-            total = int(ends.iloc[-1]) if len(rows) else total
+        for batch in batches:
+            own = pc.fill_null(batch.column(place), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            ends = total + np.cumsum(own)
+            added = [pa.array(np.full(len(own), slice_id, np.int32)), pa.array(ends - own)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *added], schema.names)
+            total = int(ends[-1]) if len(own) else total
 
     placed = materialize(
-        df.repartitionByRange(*order).sortWithinPartitions(*order).mapInPandas(sums, schema), "running"
+        df.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(sums, schema), "running"
     )
     # One row per shuffle partition: bounded by the session's partition count.
     totals = sorted(placed.groupBy("_slice").agg(F.sum(value).alias("n")).collect())

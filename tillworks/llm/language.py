@@ -22,6 +22,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillworks.llm.common import beside
+
 DIMS = 1 << 14
 LANDMARKS = 192
 # The classifier is fitted on about this many labelled rows for each language.
@@ -73,7 +75,7 @@ def fit(sets: list[np.ndarray], langs: list[str]) -> tuple[list[str], np.ndarray
 
 
 def train(df: DataFrame, id_column: str, text: str, lang: str) -> tuple[list[str], np.ndarray, np.ndarray] | None:
-    """Fit on labelled rows; which are taken depends on a hash of the id alone."""
+    """Fit on labelled rows; which are taken depends on a hash of id and text, and their number is bounded."""
     labelled = df.filter(F.col(lang).isNotNull() & F.col(text).isNotNull())
     counts = {r[0]: r[1] for r in labelled.groupBy(lang).count().collect()}
     if not counts:
@@ -83,7 +85,7 @@ def train(df: DataFrame, id_column: str, text: str, lang: str) -> tuple[list[str
     wanted = F.lit(0.0)
     for name, n in sorted(counts.items()):
         wanted = F.when(F.col(lang) == name, F.lit(min(1.0, SAMPLE_PER_LANG / n))).otherwise(wanted)
-    draw = F.pmod(F.xxhash64(F.lit("language"), F.col(id_column)), F.lit(1 << 30)) / float(1 << 30)
+    draw = F.pmod(F.xxhash64(F.lit("language"), F.col(id_column), F.col(text)), F.lit(1 << 30)) / float(1 << 30)
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
@@ -93,11 +95,11 @@ def train(df: DataFrame, id_column: str, text: str, lang: str) -> tuple[list[str
 
     rows = (
         labelled.filter(draw < wanted)
-        .select(F.xxhash64(F.lit("order"), F.col(id_column)).alias("k"), F.col(lang).alias("l"), F.col(text).alias("t"))
+        .select(F.xxhash64(F.lit("order"), F.col(id_column), F.col(text)).alias("k"), F.col(lang).alias("l"), F.col(text).alias("t"))
         .mapInPandas(sets, "k long, l string, s binary")
+        .sort("k", "l", "s")
         .limit(2 * SAMPLE_PER_LANG * len(counts))
         .toPandas()
-        .sort_values(["k", "l", "s"])
     )
     if rows.empty:
         return None
@@ -106,26 +108,21 @@ def train(df: DataFrame, id_column: str, text: str, lang: str) -> tuple[list[str
 
 def predict(df: DataFrame, model, id_column: str, text: str, keep: list[str] | None = None) -> DataFrame:
     """``id`` (with ``keep``), ``lang_pred`` and ``score`` for every row."""
-    keep = keep or []
     shared = df.sparkSession.sparkContext.broadcast(model)
 
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def score(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         model = shared.value
-        for rows in batches:
-            texts = [t if isinstance(t, str) else "" for t in rows.pop("_t")]
-            lang, best = np.full(len(texts), "und", dtype=object), np.zeros(len(texts))
-            live = [i for i, t in enumerate(texts) if model and LETTER.search(t)]
-            for at in range(0, len(live), ROWS):
-                part = live[at : at + ROWS]
-                names, marks, weights = model
-                k = _matrix([texts[i] for i in part]) @ marks.T
-                s = 4 * (k @ weights[:-1] + weights[-1])
-                p = np.exp(s - s.max(1, keepdims=True))
-                p /= p.sum(1, keepdims=True)
-                top = p.argmax(1)
-                lang[part], best[part] = np.array(names, dtype=object)[top], p[np.arange(len(part)), top]
-            yield rows.assign(lang_pred=lang, score=best)
-
-    source = df.select(id_column, *keep, F.col(text).alias("_t"))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema if f.name != "_t")
-    return source.mapInPandas(score, f"{fields}, lang_pred string, score double")
+        lang, best = np.full(len(texts), "und", dtype=object), np.zeros(len(texts))
+        live = [i for i, t in enumerate(texts) if model and t and LETTER.search(t)]
+        for at in range(0, len(live), ROWS):
+            part = live[at : at + ROWS]
+            names, marks, weights = model
+            k = _matrix([texts[i] for i in part]) @ marks.T
+            s = 4 * (k @ weights[:-1] + weights[-1])
+            p = np.exp(s - s.max(1, keepdims=True))
+            p /= p.sum(1, keepdims=True)
+            top = p.argmax(1)
+            lang[part], best[part] = np.array(names, dtype=object)[top], p[np.arange(len(part)), top]
+        return lang, best
+
+    return beside(df, [id_column, *(keep or [])], [F.col(text)], "lang_pred string, score double", lambda: score)

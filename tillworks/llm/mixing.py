@@ -19,11 +19,13 @@ result.  Only sources, at most ``MAX_SOURCES``, reach the driver.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
-from itertools import cycle
+from itertools import cycle, islice
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -125,9 +127,13 @@ def schedule(spark, targets: list[float], sizes: list[int]) -> DataFrame:
 
 
 def mix(df: DataFrame, id_column: str = "doc_id", text: str = "text", source: str = "source", seed: int = 7, row: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """The documents with ``size, source_size, target, taken``, and the schedule with the
-    pieces of documents in each slot (``slot, epoch, id, first, words``).  ``row`` names a
-key of single rows to keep with the documents."""
+    """The documents with ``size, source_size, target, taken, first_slot, slots, copies``, and the
+    schedule with the pieces of documents in each slot (``slot, epoch, id, first, words``).
+
+    ``first_slot`` is where a document stands first in the mix and ``slots`` in how
+    many it stands; ``copies`` has the first slot and the words of each time it is
+    taken, at most ``MOST_TIMES``.  ``row`` names a key of single rows to keep.
+    """
     spark = df.sparkSession
     extra = [F.col(row).alias("_row")] if row else []
     sized = materialize(
@@ -179,45 +185,44 @@ key of single rows to keep with the documents."""
         .withColumn("words", F.least(F.col("_end"), F.col("_begins") + F.col("most")) - F.col("_from"))
         .filter("words > 0")
     )
-    # A document with words is known by its source and place in it.
-    taken = scheduled.groupBy(F.col("source_rank").alias("_r"), F.col("_at").alias("_a")).agg(F.sum("words").alias("_taken"))
+    # A document with words is known by its source and place in it, a copy by its epoch.
+    of_copy = lambda e, c: F.when(F.col("epoch") == e, F.col(c))
+    copies = [F.struct(F.min(of_copy(e, "slot")).alias("slot"), F.sum(of_copy(e, "words")).alias("words")) for e in range(MOST_TIMES)]
+    taken = scheduled.groupBy(F.col("source_rank").alias("_r"), F.col("_at").alias("_a")).agg(
+        F.sum("words").alias("_taken"), F.min("slot").alias("first_slot"), F.count(F.lit(1)).alias("_slots"),
+        F.filter(F.array(*copies), lambda c: c["slot"].isNotNull()).alias("copies"),
+    )
     mixed = placed.join(
         taken, (placed["source_rank"] == taken["_r"]) & (placed["_at"] == taken["_a"]) & (placed["_size"] > 0), "left"
     ).select(
         F.col("_id").alias(id_column), *([F.col("_row").alias(row)] if row else []), F.col("_size").alias("size"), "source_size", "target",
-        F.coalesce("_taken", F.lit(0)).cast("long").alias("taken"),
+        F.coalesce("_taken", F.lit(0)).cast("long").alias("taken"), "first_slot", F.coalesce("_slots", F.lit(0)).cast("long").alias("slots"), "copies",
     )
     return mixed, scheduled.select("slot", "epoch", F.col("_id").alias(id_column), "first", "words")
 
 
 def take_texts(df: DataFrame, mixed: DataFrame, row: str, text: str) -> DataFrame:
-    """``df`` as mixed, without ``row``, the key of single rows: each document as often as its
-    words are taken, the last time only up to the last word taken."""
-    wanted = mixed.filter(F.col("taken") > 0).select(row, F.col("taken").alias("_taken"), F.col("size").alias("_size"))
+    """``df`` as mixed, in the order of the schedule, without ``row``, the key of single rows.
+
+    A document comes as often as it is taken, each time at its first slot of that
+    epoch and with the words taken there: all of them, the last time perhaps fewer.
+    """
+    wanted = mixed.filter(F.col("taken") > 0).select(row, F.col("size").alias("_size"), F.explode("copies").alias("_copy"))
     joined = df.join(wanted, row).drop(row)
     schema = df.drop(row).schema
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import re
-
-        word = re.compile(r"[^\x20\x09-\x0D]+")
-        for rows in batches:
-            full = (rows["_taken"] // rows["_size"]).astype(int)
-            rest = (rows["_taken"] % rows["_size"]).astype(int)
-            plain = rows.drop(columns=["_taken", "_size"])
-            for times in range(1, MOST_TIMES + 1):
-                if (full >= times).any():
-                    yield plain[full >= times]
-            part = plain[rest > 0].copy()
-            if not len(part):
-                continue
-            ends = []
-            for t, n in zip(part[text], rest[rest > 0], strict=True):
-                for i, m in enumerate(word.finditer(t), start=1):
-                    if i == n:
-                        ends.append(t[: m.end()])
-                        break
-            part[text] = ends
-            yield part
-
-    return joined.select(*schema.names, "_taken", "_size").mapInPandas(run, schema)
+    place, at = schema.names.index(text), len(schema.names)
+    word = re.compile(r"[^\x20\x09-\x0D]+")
+
+    def first_words(t: str, n: int) -> str:
+        return t[: next(islice(word.finditer(t), n - 1, None)).end()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column, (size, taken) = batch.column(place), [batch.column(at + i).to_pylist() for i in (0, 1)]
+            texts = [t if n >= m else first_words(t, n) for t, n, m in zip(column.to_pylist(), taken, size, strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(texts, column.type) if i == place else batch.column(i) for i in range(at)], schema.names
+            )
+
+    listed = joined.select(*schema.names, "_size", F.col("_copy.words").alias("_words"), F.col("_copy.slot").alias("_slot"))
+    return listed.repartitionByRange("_slot").sortWithinPartitions("_slot").drop("_slot").mapInArrow(run, schema)

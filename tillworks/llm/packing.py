@@ -19,14 +19,16 @@ import base64
 import os
 import re
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tillworks.llm.common import running_total
+from tillworks.llm.common import beside, running_total
 from tillworks.session import materialize
 
 LENGTH = 2048
@@ -127,20 +129,17 @@ def curve_places(ids: list[np.ndarray]) -> np.ndarray:
 def tokenize(df: DataFrame, id_column: str, text: str, vocabulary: str) -> DataFrame:
     """``id``, ``ids`` (two bytes each, little-endian), ``n_tokens``, ``place`` on the curve and ``_row``, a number of the row's own."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def start():
         encode, end = encoder(vocabulary).encode, np.array([END_ID], "<u2")
-        row = TaskContext.get().partitionId() << 40
-        for rows in batches:
-            ids = [np.append(x, end) for x in encode([t or "" for t in rows["_t"]])]
-            yield pd.DataFrame({
-                id_column: rows[id_column], "ids": [x.tobytes() for x in ids], "n_tokens": [len(x) for x in ids],
-                "place": curve_places(ids), "_row": np.arange(row, row + len(ids)),
-            })
-            row += len(ids)
+        row = count(TaskContext.get().partitionId() << 40)
 
-    source = df.select(id_column, F.coalesce(F.col(text), F.lit("")).alias("_t"))
-    kind = source.schema[id_column].dataType.simpleString()
-    return source.mapInPandas(run, f"`{id_column}` {kind}, ids binary, n_tokens long, place long, _row long")
+        def run(texts: list[str]) -> tuple:
+            ids = [np.append(x, end) for x in encode(texts)]
+            return [x.tobytes() for x in ids], [len(x) for x in ids], curve_places(ids), [next(row) for _ in ids]
+
+        return run
+
+    return beside(df, [id_column], [F.coalesce(F.col(text), F.lit(""))], "ids binary, n_tokens long, place long, _row long", start)
 
 
 def pack(df: DataFrame, id_column: str, text: str, vocabulary: str, length: int = LENGTH) -> DataFrame:
@@ -149,21 +148,26 @@ def pack(df: DataFrame, id_column: str, text: str, vocabulary: str, length: int
     tokens = materialize(tokenize(df, id_column, text, vocabulary), "tokens")
     along = running_total(tokens.drop("ids"), ["place", id_column, "n_tokens", "_row"], "n_tokens", "_before")
     placed = tokens.select(id_column, "ids", "_row").join(along.select("_row", "_before"), "_row")
+    added = "start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
+    fields = T.StructType.fromDDL(added).fields
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in batches:
-            out = []
-            for key, raw, before in zip(rows[id_column], rows["ids"], rows["_before"], strict=True):
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out, source = [], []
+            for row, (raw, before) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)):
                 ids = np.frombuffer(raw, "<u2").astype("<u4")
                 at = 0
                 while at < len(ids):
                     sequence, offset = divmod(before + at, length)
                     n = min(length - offset, len(ids) - at)
-                    out.append((key, at, n, ids[at : at + n].tobytes(), len(ids), sequence, offset))
+                    out.append((at, n, ids[at : at + n].tobytes(), len(ids), sequence, offset))
+                    source.append(row)
                     at += n
-            yield pd.DataFrame(out, columns=[id_column, "start", "length", "ids", "doc_tokens", "sequence_id", "offset"])
-
-    kind = tokens.schema[id_column].dataType.simpleString()
-    return placed.mapInPandas(
-        cut, f"`{id_column}` {kind}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
-    )
+            columns = zip(*out, strict=True) if out else [[]] * len(fields)
+            made = [pa.array(c, pa.binary() if f.name == "ids" else pa.int64()) for c, f in zip(columns, fields, strict=True)]
+            # A piece has the id of its row, as it came.
+            key = batch.column(0).take(pa.array(source, pa.int64()))
+            yield pa.RecordBatch.from_arrays([key, *made], [id_column, *[f.name for f in fields]])
+
+    schema = T.StructType([tokens.schema[id_column], *fields])
+    return placed.select(id_column, "ids", "_before").mapInArrow(cut, schema)

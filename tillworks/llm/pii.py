@@ -27,9 +27,12 @@ from itertools import accumulate
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillworks.llm.common import beside
+
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE_DOCS = 4096
 ROUNDS = 8
@@ -233,12 +236,12 @@ def all_spans(text: str, model: tuple[np.ndarray, float, float]) -> tuple[list,
 
 
 def train(df: DataFrame, id_column: str, text: str) -> tuple[np.ndarray, float, float]:
-    """Fit on the mentions of about ``SAMPLE_DOCS`` documents, drawn by a hash of the id.
+    """Fit on the mentions of about ``SAMPLE_DOCS`` documents, drawn by a hash of id and text.
 
     Only feature rows and edge labels travel, at most 64 mentions of a document.
     """
     n = df.count()
-    draw = F.pmod(F.xxhash64(F.lit("pii"), F.col(id_column)), F.lit(1 << 30)) / float(1 << 30)
+    draw = F.pmod(F.xxhash64(F.lit("pii"), F.col(id_column), F.col(text)), F.lit(1 << 30)) / float(1 << 30)
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in batches:
@@ -289,20 +292,17 @@ def find(df: DataFrame, model, id_column: str, text: str) -> DataFrame:
     """``id``, base counts, the digest of the base spans and all spans, for every row."""
     shared = df.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in batches:
-            out = []
-            for t in rows.pop("_t"):
-                base, spans = all_spans(t or "", shared.value)
-                counts = [sum(s[0] == k for s in base) for k in KINDS]
-                out.append((*counts, hashlib.sha256(joined(base).encode()).hexdigest(), joined(spans), len(spans) - len(base)))
-            names = [*[f"n_{k}" for k in KINDS], "base_sha256", "spans", "n_added"]
-            yield pd.concat([rows.reset_index(drop=True), pd.DataFrame(out, columns=names)], axis=1)
+    added = [*[f"n_{k} long" for k in KINDS], "base_sha256 string", "spans string", "n_added long"]
 
-    source = df.select(id_column, F.coalesce(F.col(text), F.lit("")).alias("_t"))
-    kind = source.schema[id_column].dataType.simpleString()
-    schema = f"`{id_column}` {kind}, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long"
-    return source.mapInPandas(run, schema)
+    def run(texts: list[str]) -> list:
+        out = []
+        for t in texts:
+            base, spans = all_spans(t, shared.value)
+            counts = [sum(s[0] == k for s in base) for k in KINDS]
+            out.append((*counts, hashlib.sha256(joined(base).encode()).hexdigest(), joined(spans), len(spans) - len(base)))
+        return list(zip(*out, strict=True)) if out else [[]] * len(added)
+
+    return beside(df, [id_column], [F.coalesce(F.col(text), F.lit(""))], ", ".join(added), lambda: run)
 
 
 def redact(df: DataFrame, model, text: str) -> DataFrame:
@@ -322,8 +322,11 @@ def redact(df: DataFrame, model, text: str) -> DataFrame:
             at = max(at, b)
         return "".join(parts) + t[at:] if parts else t
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in batches:
-            yield rows.assign(**{text: [clean(t) for t in rows[text]]})
+    place = df.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = batch.column(place)
+            yield batch.set_column(place, text, pa.array([clean(t) for t in column.to_pylist()], column.type))
 
-    return df.mapInPandas(run, df.schema)
+    return df.mapInArrow(run, df.schema)

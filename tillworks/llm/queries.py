@@ -43,7 +43,7 @@ def op5_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(table(spark, sf_dir, "documents"))[0]
+    return mixing.mix(table(spark, sf_dir, "documents"))[0].drop("copies")
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,7 +20,7 @@ from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -147,7 +147,7 @@ def with_following(df: DataFrame, id_column: str, text: str) -> DataFrame:
     Slices hold consecutive ids; the first row of each also goes, marked
     ``_tail``, to the slice before (the very first one to the last), so texts are
     shuffled once and no task sees more than its slice.  Returns ``_slice,
-    _tail, _key, _text``; null ids come first, ties are ordered by text.
+    _tail, _key, _hash, _text``; null ids come first, ties are ordered by a hash of the text.
     """
     spark = df.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions")) * 2
@@ -156,35 +156,37 @@ def with_following(df: DataFrame, id_column: str, text: str) -> DataFrame:
         F.col(id_column).alias("_id"),
         F.coalesce(F.col(id_column).cast("long"), F.lit(lowest)).alias("_key"),
         F.coalesce(F.col(text), F.lit("")).alias("_text"),
-    )
+    ).withColumn("_hash", F.xxhash64("_text"))
     cuts = rows.select(F.percentile_approx("_key", [i / n for i in range(1, n)], 100 * n)).first()[0] or []
     cuts = sorted(set(cuts))
     bounds = F.array(*map(F.lit, cuts)) if cuts else F.array().cast("array<bigint>")
     sliced = rows.withColumn("_slice", F.size(F.filter(bounds, lambda b: b < F.col("_key"))))
-    firsts = {r[0]: r[1] for r in sliced.groupBy("_slice").agg(F.min("_key")).collect()}
+    # Of the rows of one id, or without one, only the first goes to the slice before.
+    firsts = {r[0]: r[1] for r in sliced.groupBy("_slice").agg(F.min(F.struct("_key", "_hash"))).collect()}
     used = sorted(firsts)
     before = {s: used[i - 1] for i, s in enumerate(used)}
-    first = F.array(*[F.lit(firsts.get(s, lowest)).cast("long") for s in range(len(cuts) + 1)])
+    none = (lowest, lowest)
+    first = [F.array(*[F.lit(firsts.get(s, none)[i]).cast("long") for s in range(len(cuts) + 1)]) for i in (0, 1)]
     previous = F.array(*[F.lit(before.get(s, s)) for s in range(len(cuts) + 1)])
     own = F.struct(F.col("_slice").alias("s"), F.lit(0).alias("t"))
     tail = F.struct(F.element_at(previous, F.col("_slice") + 1).alias("s"), F.lit(1).alias("t"))
-    is_first = F.col("_key") == F.element_at(first, F.col("_slice") + 1)
+    is_first = (F.col("_key") == F.element_at(first[0], F.col("_slice") + 1)) & (F.col("_hash") == F.element_at(first[1], F.col("_slice") + 1))
     dealt = sliced.withColumn("_to", F.explode(F.when(is_first, F.array(own, tail)).otherwise(F.array(own))))
     return (
-        dealt.select("_id", F.col("_to.s").alias("_slice"), F.col("_to.t").alias("_tail"), "_key", "_text")
+        dealt.select("_id", F.col("_to.s").alias("_slice"), F.col("_to.t").alias("_tail"), "_key", "_hash", "_text")
         .repartition("_slice")
-        .sortWithinPartitions("_slice", "_tail", "_key", "_text")
+        .sortWithinPartitions("_slice", "_tail", "_key", "_hash", "_text")
     )
 
 
 def fingerprint_edits(df: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """Fingerprints of every text, of its edited form, and their likenesses."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
-        for rows in batches:
+        for batch in batches:
             out = []
-            for row in zip(rows["_id"], rows["_slice"], rows["_tail"], rows["_text"], strict=True):
+            for row in zip(*[batch.column(i).to_pylist() for i in range(4)], strict=True):
                 code = fingerprint(row[3])
                 if held is not None and held[1] == row[1] and not held[2]:
                     changed = edited(held[3], row[3])
@@ -195,9 +197,11 @@ def fingerprint_edits(df: DataFrame, id_column: str = "doc_id", text: str = "tex
                     ))
                 held = (*row, code)
             if out:
-                yield pd.DataFrame(out, columns=names)
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), types, strict=True)], names)
 
     names = [id_column, "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
     kinds = ["long", "long", "string", "string", "string", "double", "double"]
+    types = [{"long": pa.int64(), "string": pa.string(), "double": pa.float64()}[k] for k in kinds]
     schema = ", ".join(f"`{a}` {b}" for a, b in zip(names, kinds, strict=True))
-    return with_following(df, id_column, text).mapInPandas(run, schema)
+    rows = with_following(df.withColumn(id_column, F.col(id_column).cast("long")), id_column, text)
+    return rows.select("_id", "_slice", "_tail", "_text").mapInArrow(run, schema)
