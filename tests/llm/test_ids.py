@@ -90,9 +90,9 @@ def test_mix_stands_in_schedule_order_and_every_prefix_is_mixed(spark):
     want = []
     for r in mixed.collect():
         assert (r.first_slot is None) == (r.taken == 0) and sum(c.words for c in r.copies or []) == r.taken
-        want += [(c.slot, r.doc_id, c.words) for c in r.copies or []]
+        want += [(c.slot, c.place, r.doc_id, c.words) for c in r.copies or []]
     taken = mixing.take_texts(rows_, mixed, "_row", "text").collect()
-    assert [(r.doc_id, len(r.text.split())) for r in taken] == [(i, n) for _, i, n in sorted(want)]
+    assert [(r.doc_id, len(r.text.split())) for r in taken] == [(i, n) for *_, i, n in sorted(want)]
 
 
 def test_beside_refuses_a_name_that_is_there(spark):

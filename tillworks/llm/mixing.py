@@ -131,8 +131,8 @@ def mix(df: DataFrame, id_column: str = "doc_id", text: str = "text", source: st
     schedule with the pieces of documents in each slot (``slot, epoch, id, first, words``).
 
     ``first_slot`` is where a document stands first in the mix and ``slots`` in how
-    many it stands; ``copies`` has the first slot and the words of each time it is
-    taken, at most ``MOST_TIMES``.  ``row`` names a key of single rows to keep.
+    many it stands; ``copies`` has, of each time it is taken (at most ``MOST_TIMES``),
+    the first slot, the place of its first word there and the words.  ``row`` names a key of single rows to keep.
     """
     spark = df.sparkSession
     extra = [F.col(row).alias("_row")] if row else []
@@ -187,7 +187,12 @@ def mix(df: DataFrame, id_column: str = "doc_id", text: str = "text", source: st
     )
     # A document with words is known by its source and place in it, a copy by its epoch.
     of_copy = lambda e, c: F.when(F.col("epoch") == e, F.col(c))
-    copies = [F.struct(F.min(of_copy(e, "slot")).alias("slot"), F.sum(of_copy(e, "words")).alias("words")) for e in range(MOST_TIMES)]
+    stands = F.struct("slot", (F.col("_from") - F.col("_begins")).alias("place"))
+    scheduled = scheduled.withColumn("_stands", stands)
+    first = [F.min(of_copy(e, "_stands")) for e in range(MOST_TIMES)]
+    copies = [
+        F.struct(first[e]["slot"].alias("slot"), first[e]["place"].alias("place"), F.sum(of_copy(e, "words")).alias("words")) for e in range(MOST_TIMES)
+    ]
     taken = scheduled.groupBy(F.col("source_rank").alias("_r"), F.col("_at").alias("_a")).agg(
         F.sum("words").alias("_taken"), F.min("slot").alias("first_slot"), F.count(F.lit(1)).alias("_slots"),
         F.filter(F.array(*copies), lambda c: c["slot"].isNotNull()).alias("copies"),
@@ -224,5 +229,6 @@ def take_texts(df: DataFrame, mixed: DataFrame, row: str, text: str) -> DataFram
                 [pa.array(texts, column.type) if i == place else batch.column(i) for i in range(at)], schema.names
             )
 
-    listed = joined.select(*schema.names, "_size", F.col("_copy.words").alias("_words"), F.col("_copy.slot").alias("_slot"))
-    return listed.repartitionByRange("_slot").sortWithinPartitions("_slot").drop("_slot").mapInArrow(run, schema)
+    listed = joined.select(*schema.names, "_size", F.col("_copy.words").alias("_words"), F.col("_copy.slot").alias("_slot"), F.col("_copy.place").alias("_place"))
+    ordered = listed.repartitionByRange("_slot", "_place").sortWithinPartitions("_slot", "_place")
+    return ordered.drop("_slot", "_place").mapInArrow(run, schema)
