@@ -1,14 +1,15 @@
 """Main text of web pages by line-block distribution.
 
 Markup is stripped to lines: one per run of text between block-level tags, and
-an empty one for a gap of further tags, or as many as the gap has hidden elements.
-Menus, headers, footers, sidebars, notices, adverts, forms and reader comments are
-hidden.  The length of text in each window of ``WINDOW`` lines rises at a surge
-point and falls back to nothing at a dive point; the text between them is kept
-where the peak is high enough, or where it lies in the same article, main or
-content element as the highest peak.  Elements hold a mark by a whole class name
-or its last part, unless it says that there is none; ``html``, ``body``, ``main``
-and ``article`` are never hidden.
+an empty one for each hidden element between two texts.  Hidden are menus, headers, footers, sidebars, notices, adverts, forms and reader
+comments that say so, by an element's name or a class name's last part.  What does
+not say so is decided by the distribution: the text outside links is summed over
+windows of ``WINDOW`` lines; where the sums surge over a level taken from the
+page's own highest one, a region begins, and it ends where they dive below.  At a
+region's ends links, runs of short lines and copyright lines go, which the windows
+only reached.  Lines outside all regions stay if they lie in the same article, main
+or content element as the highest peak.  ``html``, ``body``, ``main`` and
+``article`` are never hidden.
 
 Cases: null or empty html gives an empty text; cut-off tags, comments, elements
 and character references end with the page; nulls, repeated rows and pages of
@@ -20,15 +21,22 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
+from itertools import accumulate
+from typing import NamedTuple
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillworks.llm.common import beside
+
 WINDOW = 6
-# A region counts from this many characters in a window, or as the page's highest.
-SURGE = 60
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|<[!?][^>]*(?:>|\Z)", re.S)
+# The level of a region: this share of the page's highest window, and so many characters where there are any.
+SHARE, SURGE = 0.15, 60
+# So many short lines in a row at the end of a region are a list, not its text.
+LIST = 3
+# A quote opens a value only behind an equals sign; any other belongs to a name or an unquoted value.
+TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:=\s*(?:\"[^\"]*\"|'[^']*')|[^>])*)(?:>|\Z)|<[!?][^>]*(?:>|\Z)", re.S)
+COPYRIGHT = re.compile(r"\s*(?:©|\(c\)\s|copyright\b)", re.I)
 NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 SPACE = re.compile(r"\s+")
 # HTML elements by what they mean for the text.
@@ -39,6 +47,7 @@ BLOCK = frozenset(
     " h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol option p pre section summary table tbody td tfoot"
     " th thead tr ul".split()
 )
+HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 MARKS = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments cookie cookies consent"
@@ -75,33 +84,56 @@ def _content(name: str, attributes: str) -> bool:
     return name in ("div", "section", "td") and any(parts and parts[-1] in CONTENT for parts in _names(attributes))
 
 
-def lines_of(page: str) -> list[tuple[str, int]]:
-    """Text lines in page order, each with the number of its outermost article, main or
-    content element (0: none); a hidden element between two texts is an empty line."""
-    lines: list[tuple[str, int]] = []
+class Line(NamedTuple):
+    text: str
+    #: The number of its outermost article, main or content element (0: none).
+    element: int
+    #: Characters outside links.
+    own: int
+    heading: bool
+
+
+EMPTY = Line("", 0, 0, False)
+
+
+def _clean(pieces: list[str]) -> str:
+    return SPACE.sub(" ", html.unescape("".join(pieces))).strip()
+
+
+def lines_of(page: str) -> list[Line]:
+    """Text lines in page order; a hidden element between two texts is an empty line."""
+    lines: list[Line] = []
     run: list[str] = []
+    plain: list[str] = []  # of the run, what is in no link
+    link = heading = False
     hidden: list[str] = []  # open elements from the outermost hidden one on
     inside: list[str] = []  # open elements from the outermost content element on
     element = 0
-    gap = blank = 0  # since the last text: hidden elements, and whether there was a line without text
+    gap = 0  # hidden elements since the last text
     raw, at = "", 0
 
+    def add(text: str) -> None:
+        run.append(text)
+        if not link:
+            plain.append(text)
+
     def close() -> None:
-        nonlocal gap, blank
-        line = SPACE.sub(" ", html.unescape("".join(run))).strip()
-        run.clear()
+        nonlocal gap, link
+        line = _clean(run)
         if line:
-            lines.extend([("", 0)] * max(gap, blank) if lines else [])
-            lines.append((line, element if inside else 0))
-            gap = blank = 0
-        else:
-            blank = 1
+            own = len(line) if heading or len(plain) == len(run) else len(_clean(plain))
+            lines.extend([EMPTY] * gap if lines else [])
+            lines.append(Line(line, element if inside else 0, own, heading))
+            gap = 0
+        run.clear()
+        plain.clear()
+        link = False
 
     for tag in TOKEN.finditer(page):
         if tag.start() < at:
             continue
         if not raw and not hidden:
-            run.append(page[at : tag.start()])
+            add(page[at : tag.start()])
         at = tag.end()
         name, ends = (tag[2] or "").lower(), bool(tag[1])
         if raw:
@@ -136,6 +168,7 @@ def lines_of(page: str) -> list[tuple[str, int]]:
                 hidden.append(name)
         elif name in BLOCK:
             close()
+            heading = name in HEADING and not ends
             if ends:
                 if name in inside:
                     while inside.pop() != name:
@@ -147,58 +180,89 @@ def lines_of(page: str) -> list[tuple[str, int]]:
                     inside.append(name)
                     element += 1
         elif name == "br":
-            run.append(" ")
+            add(" ")
+        elif name == "a":
+            link = not ends
     if not hidden and not raw:
-        run.append(page[at:])
+        add(page[at:])
     close()
     return lines
 
 
+def regions_of(lines: list[Line]) -> list[tuple[int, int, int]]:
+    """Runs of lines between a surge and a dive of the window sums: first line, last line and highest sum."""
+    ends = list(accumulate((x.own for x in lines), initial=0))
+    n = len(lines)
+    sums = [ends[min(i + WINDOW, n)] - ends[i] for i in range(max(1, n - WINDOW + 1))]
+    peak = max(sums, default=0)
+    if not peak:
+        return []
+    level = min(peak, max(SURGE, SHARE * peak))
+    regions: list[tuple[int, int, int]] = []
+    reached = -1
+    for i, total in enumerate(sums):
+        if total < level:
+            continue
+        a, b = i, min(i + WINDOW, n) - 1
+        while not lines[a].own:
+            a += 1
+        while not lines[b].own:
+            b -= 1
+        if regions and i <= reached + 1:
+            # No dive since the last window: one region.
+            first, last, most = regions.pop()
+            a, b, total = first, max(b, last), max(total, most)
+        reached = min(i + WINDOW, n) - 1
+        regions.append((a, b, total))
+    return [(*_trimmed(lines, a, b, level / WINDOW), total) for a, b, total in regions]
+
+
+def _trimmed(lines: list[Line], a: int, b: int, short: float) -> tuple[int, int]:
+    """A region without the lists and copyright lines at its ends; a few short lines and headings stay."""
+
+    def reach(places: range) -> int:
+        """How many lines from an end on are a list."""
+        run = 0
+        for i in places:
+            if lines[i].heading or lines[i].own >= short:
+                break
+            run += 1
+        texts = sum(bool(lines[i].text) for i in list(places)[:run])
+        return run if texts >= LIST else 0
+
+    while b > a and (not lines[b].own or COPYRIGHT.match(lines[b].text)):
+        b -= 1
+    a += reach(range(a, b))
+    b -= reach(range(b, a, -1))
+    while a < b and not lines[a].own:
+        a += 1
+    while a < b and not lines[b].own:
+        b -= 1
+    return a, b
+
+
 def main_text(page: str | None) -> str:
-    """The lines between surge and dive points, and the others of the same element, joined by newlines."""
+    """The lines between surge and dive points, and the others of the highest peak's element, joined by newlines."""
     if not page:
         return ""
     lines = lines_of(page)
-    size = [len(x) for x, _ in lines]
-    # Regions are runs of lines with less than WINDOW empty ones in a row.
-    regions: list[tuple[int, int]] = []
-    start, last = -1, -1
-    for i, n in enumerate(size):
-        if n:
-            if start < 0:
-                start = i
-            elif i - last > WINDOW:
-                regions.append((start, last))
-                start = i
-            last = i
-    if start < 0:
+    if not any(x.own for x in lines):
+        # A page of links: they are its text.
+        lines = [x._replace(own=len(x.text)) for x in lines]
+    regions = regions_of(lines)
+    if not regions:
         return ""
-    regions.append((start, last))
-    peaks = []
-    for a, b in regions:
-        total = best = sum(size[a : a + WINDOW])
-        for i in range(a + WINDOW, b + 1):
-            total += size[i] - size[i - WINDOW]
-            best = max(best, total)
-        peaks.append(best)
-    top = max(peaks)
-    enough = min(SURGE, top)
-    a, b = regions[peaks.index(top)]
-    article = {e for _, e in lines[a : b + 1]} - {0}
-    kept = [
-        x for (a, b), p in zip(regions, peaks, strict=True) for x, e in lines[a : b + 1] if x and (p >= enough or e in article)
-    ]
-    return "\n".join(kept)
+    first, last, _ = max(regions, key=lambda r: r[2])
+    article = {x.element for x in lines[first : last + 1]} - {0}
+    within = {i for a, b, _ in regions for i in range(a, b + 1)}
+    return "\n".join(x.text for i, x in enumerate(lines) if x.text and (i in within or x.element in article))
 
 
 def extract(df: DataFrame, html_column: str, keep: list[str]) -> DataFrame:
     """``keep``, ``text`` and ``n_chars`` (code points) for every row."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in batches:
-            text = [main_text(x) for x in rows.pop("_html")]
-            yield rows.assign(text=text, n_chars=[len(x) for x in text])
+    def run(pages: list[str | None]) -> tuple[list[str], list[int]]:
+        text = [main_text(x) for x in pages]
+        return text, [len(x) for x in text]
 
-    source = df.select(*keep, F.col(html_column).alias("_html"))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema if f.name != "_html")
-    return source.mapInPandas(run, f"{fields}, text string, n_chars long")
+    return beside(df, keep, [F.col(html_column)], "text string, n_chars long", lambda: run)
