@@ -4,8 +4,9 @@ A rule is a regular expression over ``host + path`` with the literal tokens
 (runs of a-z, 0-9) that every matching URL must hold.  One pass counts how many
 URLs hold each of these tokens; a rule is filed under its rarest one.  A URL's
 tokens then fetch the candidates and only those run their expression.  The
-index is an array of hash buckets in the plan, so a lookup costs the same for
-ten rules or ten thousand, and judging needs no shuffle.
+index is a literal array of hash buckets, each a line of text that is taken apart
+where it is fetched, so a lookup costs the same for ten rules or ten thousand, and
+judging needs no shuffle.
 
 Cases: a null URL or one without ``://`` has an empty host and path; null ids,
 repeated rows and very long URLs are judged row by row; an empty table gives an
@@ -22,6 +23,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MAX_RULES = 50_000
+# Characters that no URL rule holds, between buckets, rules and fields.
+BUCKET, RULE, FIELD = "\x01", "\x02", "\x03"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -87,9 +90,11 @@ def tokens_of(target: Column) -> Column:
     )
 
 
-def rule_index(urls: DataFrame, rules: tuple[Rule, ...]) -> list[list[dict]]:
+def rule_index(urls: DataFrame, rules: tuple[Rule, ...]) -> list[str]:
     """Hash buckets of rules, each filed under its rarest token over all ``urls``.
 
+    A bucket is its rules joined by ``RULE``, a rule its fields joined by ``FIELD``.
+
     ``urls`` has the column ``_tokens``.  Rules without a token are filed under
     the empty one.  Counts are kept for the rules' own tokens alone.
     """
@@ -97,28 +102,20 @@ def rule_index(urls: DataFrame, rules: tuple[Rule, ...]) -> list[list[dict]]:
         raise ValueError(f"{len(rules)} rules; the index is built for {MAX_RULES} at most")
     spark = urls.sparkSession
     wanted = sorted({t for r in rules for t in r.tokens})
-    counts = (
-        urls.select(F.explode(F.filter("_tokens", lambda t: t.isin(wanted))).alias("token"))
-        .groupBy("token")
-        .count()
-        .collect()
-        if wanted
-        else []
-    )
+    # Tokens travel as rows: thousands of literals or columns take minutes to plan.
+    rows = lambda tokens: spark.range(1).select(F.explode(F.from_json(F.lit(json.dumps(tokens)), "array<string>")).alias("token"))
+    # The rules' own tokens, bounded by MAX_RULES.
+    counts = urls.select(F.explode("_tokens").alias("token")).join(F.broadcast(rows(wanted)), "token").groupBy("token").count().collect()
     seen = {row["token"]: row["count"] for row in counts}
     filed = [(min(r.tokens, key=lambda t: (seen.get(t, 0), t), default=""), r) for r in rules]
     n_buckets = max(1, len(rules))
     keys = sorted({t for t, _ in filed})
-    spots = spark.range(1).select(
-        *[F.pmod(F.xxhash64(F.lit(t)), F.lit(n_buckets)).cast("int").alias(f"b{i}") for i, t in enumerate(keys)]
-    )
-    bucket = dict(zip(keys, spots.first(), strict=True))
-    buckets: list[list[dict]] = [[] for _ in range(n_buckets)]
+    bucket = dict(rows(keys).select("token", F.pmod(F.xxhash64("token"), F.lit(n_buckets)).cast("int")).collect())
+    buckets: list[list[str]] = [[] for _ in range(n_buckets)]
     for token, rule in filed:
-        buckets[bucket[token]].append(
-            {"token": token, "name": rule.name, "verdict": rule.verdict, "pattern": rule.pattern, "rank": rule.rank, "listed": rule.listed}
-        )
-    return buckets
+        fields = (token, rule.name, rule.verdict, rule.pattern, str(rule.rank), str(int(rule.listed)))
+        buckets[bucket[token]].append(FIELD.join(fields))
+    return [RULE.join(b) for b in buckets]
 
 
 def judge_urls(
@@ -133,22 +130,22 @@ def judge_urls(
         F.col(id_column), host_of(F.col(url_column)).alias("host"), path_of(F.col(url_column)).alias("path")
     ).withColumn("_tokens", F.concat(tokens_of(F.concat("host", "path")), F.array(F.lit(""))))
     buckets = rule_index(split, rules)
-    kind = "array<array<struct<token string, name string, verdict string, pattern string, rank int, listed boolean>>>"
-    index = F.from_json(F.lit(json.dumps(buckets)), kind)
+    # Splitting a literal is done once, when the query is planned.
+    index = F.split(F.lit(BUCKET.join(buckets)), BUCKET)
     target = F.concat("host", "path")
-    candidates = F.flatten(
+
+    def rules_of(t: Column) -> Column:
+        bucket = F.element_at(index, (F.pmod(F.xxhash64(t), F.lit(len(buckets))) + 1).cast("int"))
+        return F.filter(F.transform(F.split(bucket, RULE), lambda r: F.split(r, FIELD)), lambda r: r[0] == t)
+
+    candidates = F.flatten(F.transform("_tokens", rules_of))
+    fitting = F.filter(candidates, lambda r: F.rlike(target, F.get(r, 3)))
+    best = F.array_max(
         F.transform(
-            "_tokens",
-            lambda t: F.filter(
-                F.element_at(index, (F.pmod(F.xxhash64(t), F.lit(len(buckets))) + 1).cast("int")),
-                lambda r: r["token"] == t,
-            ),
+            fitting,
+            lambda r: F.struct(r[4].cast("int").alias("rank"), r[1].alias("name"), r[2].alias("verdict"), (r[5] == "1").alias("listed")),
         )
     )
-    fitting = F.filter(candidates, lambda r: F.rlike(target, r["pattern"]))
-    best = F.array_max(
-        F.transform(fitting, lambda r: F.struct(r["rank"], r["name"], r["verdict"], r["listed"]))
-    )
     return split.withColumn("_best", best).select(
         id_column,
         "host",
