@@ -297,7 +297,9 @@ def train(df: DataFrame, id_column: str, text: str) -> tuple[np.ndarray, float,
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in batches:
-            yield pd.DataFrame({"x": [x for t in part["t"] for x in examples(t or "")]})
+            # A batch without examples has no column type.
+            if found := [x for t in part["t"] for x in examples(t or "")]:
+                yield pd.DataFrame({"x": pd.Series(found, dtype=object)})
 
     sample = (
         df.filter(draw < min(1.0, SAMPLE_DOCS / max(n, 1)))
