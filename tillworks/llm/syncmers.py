@@ -9,7 +9,10 @@ order of occurrence, and the longest chain that rises in both texts counts.
 
 Cases: a null text is an empty one, whose fingerprint is empty; a text shorter
 than K is one anchor; equal texts have equal fingerprints, and two empty ones
-likeness 1; long texts are hashed in overlapping segments with the same result.
+likeness 1; long texts are hashed in overlapping segments with the same result;
+rows without an id, or with a shared one, follow each other by the hash of the
+text, repeated rows are each other's next document; an empty table gives an empty
+result.
 """
 
 from __future__ import annotations
@@ -17,7 +20,9 @@ from __future__ import annotations
 import base64
 import hashlib
 from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -146,7 +151,8 @@ def with_following(df: DataFrame, id_column: str, text: str) -> DataFrame:
 
     Slices hold consecutive ids; the first row of each also goes, marked
     ``_tail``, to the slice before (the very first one to the last), so texts are
-    shuffled once and no task sees more than its slice.  Returns ``_slice,
+    shuffled once and no task sees more than its slice.  An id that fills slices
+    alone (or the rows without one) is cut by the hash of the text.  Returns ``_id, _slice,
     _tail, _key, _hash, _text``; null ids come first, ties are ordered by a hash of the text.
     """
     spark = df.sparkSession
@@ -158,16 +164,23 @@ def with_following(df: DataFrame, id_column: str, text: str) -> DataFrame:
         F.coalesce(F.col(text), F.lit("")).alias("_text"),
     ).withColumn("_hash", F.xxhash64("_text"))
     cuts = rows.select(F.percentile_approx("_key", [i / n for i in range(1, n)], 100 * n)).first()[0] or []
-    cuts = sorted(set(cuts))
-    bounds = F.array(*map(F.lit, cuts)) if cuts else F.array().cast("array<bigint>")
-    sliced = rows.withColumn("_slice", F.size(F.filter(bounds, lambda b: b < F.col("_key"))))
+    # A cut that comes several times is an id of so many slices: they follow that of the ids below it.
+    parts = {c: m if m > 1 else 0 for c, m in sorted(Counter(cuts).items())}
+    starts = list(accumulate((1 + m for m in parts.values()), initial=0))
+    longs = lambda values: F.array(*map(F.lit, values)).cast("array<bigint>")
+    place = F.size(F.filter(longs(parts), lambda c: c < F.col("_key"))) + 1
+    m = F.get(longs(parts.values()), place - 1)
+    # The upper half of the hash, scaled to the number of parts: rising with the hash.
+    part = F.shiftright((F.shiftright("_hash", 32) + F.lit(1 << 31)) * m, 32)
+    alone = (m > 0) & (F.get(longs(parts), place - 1) == F.col("_key"))
+    sliced = rows.withColumn("_slice", (F.element_at(longs(starts), place) + F.when(alone, part + 1).otherwise(0)).cast("int"))
     # Of the rows of one id, or without one, only the first goes to the slice before.
     firsts = {r[0]: r[1] for r in sliced.groupBy("_slice").agg(F.min(F.struct("_key", "_hash"))).collect()}
     used = sorted(firsts)
     before = {s: used[i - 1] for i, s in enumerate(used)}
     none = (lowest, lowest)
-    first = [F.array(*[F.lit(firsts.get(s, none)[i]).cast("long") for s in range(len(cuts) + 1)]) for i in (0, 1)]
-    previous = F.array(*[F.lit(before.get(s, s)) for s in range(len(cuts) + 1)])
+    first = [F.array(*[F.lit(firsts.get(s, none)[i]).cast("long") for s in range(starts[-1] + 1)]) for i in (0, 1)]
+    previous = F.array(*[F.lit(before.get(s, s)) for s in range(starts[-1] + 1)])
     own = F.struct(F.col("_slice").alias("s"), F.lit(0).alias("t"))
     tail = F.struct(F.element_at(previous, F.col("_slice") + 1).alias("s"), F.lit(1).alias("t"))
     is_first = (F.col("_key") == F.element_at(first[0], F.col("_slice") + 1)) & (F.col("_hash") == F.element_at(first[1], F.col("_slice") + 1))
