@@ -99,6 +99,12 @@ def scratch(spark: SparkSession, *, delete: bool = True) -> Iterator[list[str]]:
             drop_folders(spark, owned)
 
 
+def own(folders: list[str]) -> None:
+    """Give ``folders`` to the ``scratch`` that is open here, if any: they outlive an inner one."""
+    if (owned := _made.get()) is not None:
+        owned.extend(folders)
+
+
 def drop_folders(spark: SparkSession, folders: list[str]) -> None:
     """Delete ``folders`` and empty the list."""
     while folders:
