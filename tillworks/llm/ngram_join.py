@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillworks.llm.components import components
-from tillworks.session import drop_folders, materialize, release, scratch
+from tillworks.session import drop_folders, materialize, own, release, scratch
 
 WORDS = 5
 # Two documents link when SHARE[1] * intersection >= SHARE[0] * union.
@@ -506,7 +506,10 @@ def merge(roots: DataFrame | None, linked: DataFrame) -> DataFrame:
 
 
 def near_duplicates(df: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """``id, n_shingles, component_id`` for every row of ``df``, written; no other folder is left."""
+    """``id, n_shingles, component_id`` for every row of ``df``, written; no other folder is left.
+
+    The folder of the result belongs to the caller's ``scratch``, if there is one.
+    """
     with scratch(df.sparkSession):
         described = materialize(describe(df, id_column, text), "described")
         docs = described.filter("bucket IS NULL").select("doc_id", "n", "id", "bitmap")
@@ -514,8 +517,10 @@ def near_duplicates(df: DataFrame, id_column: str = "doc_id", text: str = "text"
         named = docs.join(by_class, (docs["id"] == by_class["_id"]) & (docs["n"] > 0), "left").select(
             F.col("doc_id").alias(id_column), F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
         )
-        with scratch(df.sparkSession, delete=False):  # the result outlives the block
-            return materialize(named, "near_duplicates")
+        with scratch(df.sparkSession, delete=False) as made:  # the result outlives the block
+            result = materialize(named, "near_duplicates")
+    own(made)
+    return result
 
 
 def _classes(df: DataFrame, described: DataFrame, docs: DataFrame, id_column: str, text: str) -> DataFrame:
