@@ -9,7 +9,8 @@ matrix products per batch: presence by landmarks, then landmarks by languages.
 
 Cases: a null text or one without a letter is ``und`` with score 0; with no
 labelled rows everything is ``und``; very long texts keep a set of bounded size;
-ties go to the first language by code point; only the named columns are read.
+ties go to the first language by code point; repeated rows are judged alike; an
+empty table gives an empty result; only the named columns are read.
 """
 
 from __future__ import annotations
