@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tillworks.llm import mixing, ngram_join, packing, pii, quality
 from tillworks.llm.common import settings, table
 from tillworks.llm.queries import vocabulary
-from tillworks.session import drop_folders, materialize, release, scratch
+from tillworks.session import drop_folders, materialize, own, release, scratch
 
 
 # The folders of intermediate tables that the stages have left, by stage.
@@ -57,7 +57,9 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     Texts without words are near nothing and stay, as does an empty table.
     """
     rows = numbered(docs)
-    found = ngram_join.near_duplicates(rows, id_column="_row").select("_row", "component_id")
+    joined = ngram_join.near_duplicates(rows, id_column="_row")
+    own([joined._written_to])
+    found = joined.select("_row", "component_id")
     place = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64("text"), "_row")
     kept = (
         rows.select("_row", place.alias("_place")).join(found, "_row")
