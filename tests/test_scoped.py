@@ -11,7 +11,7 @@ from tillworks.adapter import sales
 from tillworks.operators.bridges import bridge_conflicts, rewrite_scoped
 from tillworks.operators.intervals import asof_join
 from tillworks.plans import fact, refresh
-from tillworks.plans.tuples import FAMILIES
+from tillworks.plans.tuples import FAMILIES, FIRST, LAST, LINES
 
 DATA = "/root/testdata/sf0.001"
 RANGE = "store string, address string, low date, high date, seq int"
@@ -87,3 +87,22 @@ def test_tuples_give_the_tables_of_the_feed(spark, table):
     direct, ours = job.build(jobs.feed, *inputs), job.build(jobs.tuples[job.family], *inputs)
     assert direct.exceptAll(ours).isEmpty() and ours.exceptAll(direct).isEmpty()
     assert not set(FAMILIES["items"]) & set(FAMILIES["stores"])
+
+
+@pytest.mark.parametrize("table", ["vendor", "store_site_history", "store_address", "bridge_conflicts"])
+def test_tuples_hold_only_what_the_tables_need(spark, table):
+    """Fewer columns make fewer tuples: a query pays neither for the other family nor for days it does not count."""
+    wanted = ("item_number_bridge", "store_number_bridge") if table == "bridge_conflicts" else (table,)
+    jobs = queries.Jobs(spark, DATA, wanted)
+    needed = {"items": set(), "stores": set()}
+    for name in refresh.order_of(wanted):
+        needed[refresh.JOBS[name].family].update(refresh.JOBS[name].columns)
+    needed = {family: columns for family, columns in needed.items() if columns}
+    assert {family: set(df.columns) - {LINES, FIRST, LAST} for family, df in jobs.tuples.items()} == needed
+    for family, columns in needed.items():
+        assert jobs.tuples[family].count() == jobs.feed.select(*columns).distinct().count()
+        assert jobs.tuples[family].agg(F.sum(LINES)).first()[0] == jobs.feed.count()
+    everything = queries.Jobs(spark, DATA)
+    for name in set(wanted):
+        ours, theirs = jobs.plan(name), everything.plan(name)
+        assert ours.exceptAll(theirs).isEmpty() and theirs.exceptAll(ours).isEmpty()
