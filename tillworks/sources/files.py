@@ -47,7 +47,7 @@ def write_table(
     sort_by: list[str] | None = None,
     partition_by: list[str] | None = None,
 ) -> None:
-    """Write a table, by default replacing it.
+    """Write a table, by default replacing it; CSV is compressed.
 
     ``num_partitions`` sets the number of files.  It moves rows, so the order
     inside the files is set afterwards, by ``sort_by``.
@@ -58,7 +58,7 @@ def write_table(
         df = df.sortWithinPartitions(*sort_by)
     writer = df.write.format(format).mode(mode)
     if format == "csv":
-        writer = writer.option("header", True)
+        writer = writer.option("header", True).option("compression", "gzip")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)
