@@ -10,7 +10,7 @@ from tillworks import queries
 from tillworks.adapter import sales
 from tillworks.operators.bridges import bridge_conflicts, rewrite_scoped
 from tillworks.operators.intervals import asof_join
-from tillworks.plans import fact, refresh
+from tillworks.plans import fact, items, refresh
 from tillworks.plans.tuples import FAMILIES, FIRST, LAST, LINES
 
 DATA = "/root/testdata/sf0.001"
@@ -106,3 +106,15 @@ def test_tuples_hold_only_what_the_tables_need(spark, table):
     for name in set(wanted):
         ours, theirs = jobs.plan(name), everything.plan(name)
         assert ours.exceptAll(theirs).isEmpty() and theirs.exceptAll(ours).isEmpty()
+
+
+@pytest.mark.parametrize("many", [2, 100])
+def test_unfolded_items_are_dealt_before_they_are_many(spark, monkeypatch, many):
+    """What groups by item and vendor needs no shuffle after the bridge; a large vendor gives the same rows."""
+    monkeypatch.setattr(items, "MANY_TUPLES", many)
+    rows = spark.createDataFrame([("7", "A", 1), ("007", "A", 2), ("8", "A", 3), ("7", None, 4), (None, "B", 5), ("x", "B", 6)], "`Item Number` string, `Vendor Number` string, n int")
+    bridge = spark.createDataFrame([(7, 3), (7, 2), (8, 1)], "`Original Item Number` int, `Current Item Number` int")
+    dealt = items._rewrite_by_vendor(rows, bridge)
+    assert sorted(map(str, map(tuple, dealt.drop("_spread").collect()))) == sorted(map(str, map(tuple, items.rewrite_item(rows, bridge).collect())))
+    plan = dealt.groupBy("Item Number", "Vendor Number", "_spread").count()._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(Item Number" not in plan and "REPARTITION_BY_NUM" in plan
