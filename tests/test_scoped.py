@@ -7,11 +7,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillworks import queries
-from tillworks.adapter import sales
+from tillworks.adapter import places, sales
 from tillworks.operators.bridges import bridge_conflicts, rewrite_scoped
 from tillworks.operators.intervals import asof_join
-from tillworks.plans import fact, items, refresh
-from tillworks.plans.tuples import FAMILIES, FIRST, LAST, LINES
+from tillworks.plans import fact, items, refresh, stores
+from tillworks.plans.tuples import FAMILIES, FIRST, LAST, LINES, write_tuples
 
 DATA = "/root/testdata/sf0.001"
 RANGE = "store string, address string, low date, high date, seq int"
@@ -118,3 +118,44 @@ def test_unfolded_items_are_dealt_before_they_are_many(spark, monkeypatch, many)
     assert sorted(map(str, map(tuple, dealt.drop("_spread").collect()))) == sorted(map(str, map(tuple, items.rewrite_item(rows, bridge).collect())))
     plan = dealt.groupBy("Item Number", "Vendor Number", "_spread").count()._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(Item Number" not in plan and "REPARTITION_BY_NUM" in plan
+
+
+def test_store_tuples_come_of_the_orders(spark, tmp_path):
+    """Rows that come twice, null keys and orders without lines count as they do in the lines; only order keys of lines are moved."""
+    for name in ("lineitem", "orders", "customer", "supplier", "part", "nation", "region"):
+        rows = spark.read.parquet(f"{DATA}/{name}.parquet")
+        key = rows.columns[0]
+        kept = rows.filter(F.col(key) % 10 != 3) if name in ("lineitem", "part") else rows
+        odd = rows.filter(F.col(key) % 7 == 1)
+        kept.unionByName(odd).unionByName(odd.withColumn(key, F.lit(None).cast(rows.schema[key].dataType))).write.parquet(f"{tmp_path}/{name}.parquet")
+    family = {"stores": FAMILIES["stores"]}
+    ours = write_tuples(places(spark, str(tmp_path), FAMILIES["stores"]), f"{tmp_path}/ours", family)["stores"]
+    theirs = write_tuples(sales(spark, str(tmp_path)), f"{tmp_path}/theirs", family)["stores"]
+    assert ours.schema == theirs.schema and ours.count() > 0
+    assert ours.exceptAll(theirs).isEmpty() and theirs.exceptAll(ours).isEmpty()
+
+
+def test_address_patterns_run_once_per_raw_address(spark):
+    feed = spark.createDataFrame([("1 N Main St.",), ("1 N Main St.",), (None,)], "Address string")
+    plan = stores.build_store_address_bridge(feed)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate [") == 2
+
+
+@pytest.mark.parametrize("scope", [[], ["Vendor Number"]])
+def test_item_pairs_by_brute_force(spark, scope):
+    draw = random.Random(4)
+    rows = [(draw.choice(["7", "07", "8", "x9", "12", "a", None]), draw.choice(["Red ale", "Ale", None]), draw.choice([1, 2, None]), draw.choice(["Brewer", None])) for _ in range(80)]
+    feed = spark.createDataFrame(rows, "`Item Number` string, `Item Description` string, `Vendor Number` int, `Vendor Name` string")
+    clean = [(i and i.replace("x", ""), d and d.title().replace("Red ale", "Red Ale"), v) for i, d, v, _ in rows]
+    usual = {}
+    for item in {i for i, _, _ in clean}:
+        votes = sorted((-sum(1 for i, e, _ in clean if (i, e) == (item, d)), d) for d in {d for i, d, _ in clean if i == item and d})
+        usual[item] = votes[0][1] if votes else None
+    numbers = {(i, v) for i, _, v in clean if i and v and usual[i]}
+    lowest = {(i, v): min(j for j, w in numbers if w == v and usual[j] == usual[i]) for i, v in numbers}
+    pairs = {(i, str(v), low) if scope else (i, low) for (i, v), low in lowest.items() if i != low}
+    digits = lambda t: int(t) if t.isdigit() else None
+    ids = [(digits(p[0]), *p[1:-1], digits(p[-1])) for p in pairs]
+    want = [p for p in ids if p[0] is not None and p[-1] is not None and p[0] != p[-1]]
+    built = items._renumbered(feed, scope)
+    assert sorted(map(tuple, built.collect())) == sorted(want) and want
