@@ -159,3 +159,25 @@ def test_item_pairs_by_brute_force(spark, scope):
     want = [p for p in ids if p[0] is not None and p[-1] is not None and p[0] != p[-1]]
     built = items._renumbered(feed, scope)
     assert sorted(map(tuple, built.collect())) == sorted(want) and want
+
+
+def test_asof_fact_looks_stores_up_by_day(spark):
+    """Of all joins with store tables, the lines take part in one, and stores known without the lines give the same fact."""
+    jobs = queries.Jobs(spark, DATA, refresh.ASOF_INPUTS)
+    inputs = [jobs.table(n) for n in refresh.ASOF_INPUTS]
+    ours, theirs = jobs.fact_asof(jobs.feed), fact.build_fact_asof(jobs.feed, *inputs)
+    assert ours.exceptAll(theirs).isEmpty() and theirs.exceptAll(ours).isEmpty()
+    odd = jobs.feed.limit(50).withColumns({"Date": F.lit(None).cast("date"), "Invoice/Item Number": F.concat(F.lit("odd-"), "Invoice/Item Number")})
+    for how in ("inner", "left"):
+        built = fact.build_fact_asof(jobs.feed.unionByName(odd), *inputs, how=how).filter("`Invoice_Item Number` LIKE 'odd-%'")
+        known = odd if how == "left" else odd.filter(F.col("Address").isNotNull())
+        assert built.count() == known.count() > 0 and built.filter("`Address Sequence` IS NOT NULL").isEmpty()
+
+
+def test_only_large_vendors_are_counted_by_item(spark, monkeypatch):
+    monkeypatch.setattr(items, "MANY_TUPLES", 2)
+    rows = spark.createDataFrame([("7", "A", 1), ("007", "A", 2), ("8", "A", 3), ("7", "B", 4), (None, "B", 5)], "`Item Number` string, `Vendor Number` string, n int")
+    bridge = spark.createDataFrame([(7, "A", 3), (7, "B", 2)], "`Original Item Number` int, `Vendor Number` string, `Current Item Number` int")
+    dealt = items._rewrite_by_vendor(rows, bridge)
+    want = {("3", "A", 1, "3"), ("3", "A", 2, "3"), ("8", "A", 3, "8"), ("2", "B", 4, None), (None, "B", 5, None)}
+    assert set(map(tuple, dealt.collect())) == want
