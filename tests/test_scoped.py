@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tillworks import queries
 from tillworks.adapter import places, sales
+from tillworks.operators import numbering
 from tillworks.operators.bridges import bridge_conflicts, rewrite_scoped
 from tillworks.operators.intervals import asof_join
 from tillworks.plans import fact, items, refresh, stores
@@ -181,3 +182,48 @@ def test_only_large_vendors_are_counted_by_item(spark, monkeypatch):
     dealt = items._rewrite_by_vendor(rows, bridge)
     want = {("3", "A", 1, "3"), ("3", "A", 2, "3"), ("8", "A", 3, "8"), ("2", "B", 4, None), (None, "B", 5, None)}
     assert set(map(tuple, dealt.collect())) == want
+
+
+@pytest.mark.parametrize("many,cut", [(2, 1), (2, 10), (100, 10)])
+def test_price_rows_by_brute_force(spark, monkeypatch, many, cut):
+    """However rows are dealt; slices follow the unfolded rows, so that a task's share does not grow with the tables."""
+    monkeypatch.setattr(items, "MANY_TUPLES", many)
+    monkeypatch.setattr(items, "ROWS_A_SLICE", cut)
+    monkeypatch.setattr(items, "HEAVY_ROWS", 3)
+    monkeypatch.setattr(numbering, "HEAVY_ROWS", 3)
+    draw = random.Random(6)
+    price = lambda: (draw.choice([1, None]), 750, draw.choice([1.0, None]), draw.choice([2.0, 3.0]))
+    rows = [(draw.choice(["7", "007", "8", "9", "x", None]), draw.choice(["A", "B", None]), *price(), day(draw.randrange(9)), day(9 + draw.randrange(9))) for _ in range(60)]
+    ranges = spark.createDataFrame(rows, "`Item Number` string, `Vendor Number` string, Pack int, `Bottle Volume ml` int, `State Bottle Cost` double, `State Bottle Retail` double, `From Date` date, `To Date` date")
+    bridge = spark.createDataFrame([(7, 3), (7, 2), (7, 2), (8, 2), (9, 8), (None, 1)], "`Original Item Number` int, `Current Item Number` int")
+    current = {"7": ["2", "3"], "007": ["2", "3"], "8": ["2"], "9": ["8"]}
+    merged = {}
+    for item, *shared, low, high in rows:
+        for c in current.get(item, [item]):
+            merged.setdefault((c, *shared), []).append((low, high))
+    want = [(*k, min(r[0] for r in v), max(r[1] for r in v)) for k, v in merged.items()]
+    found, heavy = items._price_rows(ranges, bridge)
+    assert sorted(map(str, map(tuple, found.select(ranges.columns).collect()))) == sorted(map(str, want))
+    assert found.rdd.getNumPartitions() >= len(rows) / cut
+    plan = found.groupBy("Item Number", "Vendor Number", "_spread").count()._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(Item Number" not in plan
+    crowded = max(sum(1 for w in want if w[:2] == key) for key in {w[:2] for w in want})
+    assert crowded > 3 and not found.filter(heavy).isEmpty() if many == 2 else True
+
+
+@pytest.mark.parametrize("many", [2, 20])
+def test_items_are_described_before_they_are_unfolded(spark, monkeypatch, many):
+    """Item rows meet what is known of them where they are dealt; large vendors, items without a list or a number give the same rows."""
+    monkeypatch.setattr(items, "MANY_TUPLES", many)
+    draw = random.Random(8)
+    rows = [(draw.choice(["7", "007", "8", "9", "x", None]), draw.choice(["A", "B", None]), n) for n in range(80)]
+    df = spark.createDataFrame(rows, "`Item Number` string, `Vendor Number` string, n int")
+    bridge = spark.createDataFrame([(7, 3), (7, 2), (8, 2), (8, None), (9, 7)], "`Original Item Number` int, `Current Item Number` int")
+    known = spark.createDataFrame([("2", "Ale", "CAT_1"), ("3", "Ale", "CAT_1"), ("7", "Rum", None), ("x", None, None)], "`Item Number` string, `Item Description` string, `Category Number` string")
+    dealt = items._deal_described(df, bridge, known)
+    plain = items.rewrite_item(df, bridge).join(known, "Item Number", "left").select(dealt.drop("_spread").columns)
+    assert sorted(map(str, map(tuple, dealt.drop("_spread").collect()))) == sorted(map(str, map(tuple, plain.collect())))
+    # A current item of a vendor is in one place, large vendors in several.
+    assert dealt.groupBy("Item Number", "Vendor Number").agg(F.countDistinct(F.coalesce("_spread", F.lit("none"))).alias("n")).filter("n > 1").isEmpty()
+    plan = dealt.groupBy("Item Number", "Vendor Number", "_spread").count()._jdf.queryExecution().executedPlan().toString()
+    assert plan.rfind("REPARTITION_BY_NUM") >= 0 and "Exchange" not in plan[: plan.find("REPARTITION_BY_NUM")].replace("Exchange hashpartitioning(Vendor Number", "")
