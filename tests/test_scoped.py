@@ -227,3 +227,15 @@ def test_items_are_described_before_they_are_unfolded(spark, monkeypatch, many):
     assert dealt.groupBy("Item Number", "Vendor Number").agg(F.countDistinct(F.coalesce("_spread", F.lit("none"))).alias("n")).filter("n > 1").isEmpty()
     plan = dealt.groupBy("Item Number", "Vendor Number", "_spread").count()._jdf.queryExecution().executedPlan().toString()
     assert plan.rfind("REPARTITION_BY_NUM") >= 0 and "Exchange" not in plan[: plan.find("REPARTITION_BY_NUM")].replace("Exchange hashpartitioning(Vendor Number", "")
+
+
+def test_fact_rows_are_distinct_before_they_are_many(spark):
+    """Lines alike in all but items and prices share their rows; no operator compares the unfolded rows."""
+    schema = "inv string, `Item Number` string, `Price Sequence` int, _items array<string>, _prices array<struct<`Item Number`:string,`Price Sequence`:int>>"
+    rows = [("a", None, None, ["1", "2", "2"], [("1", 5), ("1", 6), ("9", 7)]), ("a", None, None, ["2", "3"], None), ("a", None, None, ["2", "3"], None),
+            (None, None, None, [None, "4"], [("4", 1)]), (None, None, None, [None], None)]
+    built = fact._distinct_rows(spark.createDataFrame(rows, schema).drop("Item Number", "Price Sequence"), ["inv", "Item Number", "Price Sequence"])
+    want = [("a", "1", 5), ("a", "1", 6), ("a", "2", None), ("a", "3", None), (None, None, None), (None, "4", 1)]
+    assert sorted(map(str, map(tuple, built.collect()))) == sorted(map(str, want))
+    plan = built._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.find("Generate explode") < plan.find("Aggregate")
