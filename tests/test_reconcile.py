@@ -1,9 +1,11 @@
 """Export to the later calendar and back."""
 
 import datetime as dt
+from pathlib import Path
 
 import pytest
 
+from tillworks import queries
 from tillworks.plans import reconcile
 from tillworks.schemas import schema_of
 
@@ -30,3 +32,12 @@ def test_dates_come_back_leap_days_too(spark, tmp_path, table):
 
 def test_the_given_tables_hold_a_leap_day(spark):
     assert spark.read.parquet("/root/testdata/sf0.001/orders.parquet").filter("month(o_orderdate) = 2 AND day(o_orderdate) = 29").count() > 0
+
+
+def test_only_the_reconciled_table_is_left(spark):
+    """What the export was made from, and the export, are gone when the table has been read back."""
+    files = lambda: {str(p) for p in Path(spark.conf.get("spark.checkpoint.dir")).rglob("part-*")}
+    before = files()
+    rows = queries.QUERIES["reconcile_item"](spark, "/root/testdata/sf0.001")
+    left = files() - before
+    assert rows.count() > 0 and left and all("/export-" in f and "/parquet/" in f for f in left)
