@@ -223,9 +223,10 @@ def shared_blocks(rows: DataFrame) -> DataFrame:
 
 
 class Tree:
-    """Signature tree over members in order: arrays per node, children in runs of ``FAN``."""
+    """Signature tree over members in order: arrays per node, children in runs of ``FAN``.  Without ``own`` all members are."""
 
-    def __init__(self, n: np.ndarray, root: np.ndarray, bits: np.ndarray, own: np.ndarray):
+    def __init__(self, n: np.ndarray, root: np.ndarray, bits: np.ndarray, own: np.ndarray | None = None):
+        own = np.ones(len(n), bool) if own is None else own
         self.n, self.root, self.bits, self.own = n, root, bits, own
         self.ones = np.bitwise_count(bits).sum(1).astype(np.int64)
         self.slack = n - self.ones
